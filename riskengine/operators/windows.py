@@ -94,6 +94,19 @@ def _previous_cell(cells: DataFrame, time: str, by: list[str]) -> DataFrame:
     )
 
 
+def _tie_slots(
+    df: DataFrame, cell: list[str], key: str, split_ties: str | bool, tie_rows: int
+) -> tuple[DataFrame, bool]:
+    """Add ``_slot``. When a second is too full for one task its rows are split by even
+    cuts of the unique key: no (second, slot) then holds more than a slot's share of all rows."""
+    if split_ties == "auto":
+        fullest = df.groupBy(*cell).count().agg(F.max("count")).first()[0] or 0
+        split_ties = fullest > tie_rows
+    if split_ties:
+        return cut_slots(df, key, "_slot", one_task_rows=0), True
+    return df.withColumn("_slot", F.lit(0)), False
+
+
 def trailing_stats(
     df: DataFrame,
     windows: Mapping[str, int],
@@ -117,10 +130,7 @@ def trailing_stats(
     """
     by = list(by)
     cell = [*by, time]
-    if split_ties == "auto":
-        fullest = df.groupBy(*cell).count().agg(F.max("count")).first()[0] or 0
-        split_ties = fullest > tie_rows
-    rows = cut_slots(df, key, "_slot", one_task_rows=0) if split_ties else df.withColumn("_slot", F.lit(0))
+    rows, split_ties = _tie_slots(df, cell, key, split_ties, tie_rows)
 
     own = time_cells(rows, time, value, [*by, "_slot"])
     cells = own.groupBy(*cell).agg(*[F.sum(m).alias(m) for m in _SUMS]) if split_ties else own.drop("_slot")
@@ -206,56 +216,59 @@ def window_range(
     key: str = "txn_id",
     value: str = "Amount",
     tag: str = "1h",
+    split_ties: str | bool = "auto",
+    tie_rows: int = ONE_TASK_ROWS,
 ) -> DataFrame:
     """Real range, position in range and skewness of the trailing window.
 
     Minimum and maximum cannot be subtracted, so they are taken over cells with a
-    sliding frame (at most ``width`` seconds long); the third power sum joins the other
-    running sums. Within the row's own second the running values are used.
+    sliding frame, at most ``width`` cells long. Earlier slots and the row's own slot
+    complete the row's own second.
     """
     v = F.col(value).cast("double")
-    cells = df.groupBy(time).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(v).alias("s"),
-        F.sum(v * v).alias("q"),
-        F.sum(v * v * v).alias("c"),
-        F.min(v).alias("lo"),
-        F.max(v).alias("hi"),
+    rows, split_ties = _tie_slots(df, [time], key, split_ties, tie_rows)
+    power = {"n": F.lit(1), "s": v, "q": v * v, "c": v * v * v}
+    own = rows.groupBy(time, "_slot").agg(
+        *[F.sum(e).cast("double").alias(m) for m, e in power.items()], F.min(v).alias("lo"), F.max(v).alias("hi")
+    )
+    cells = own.groupBy(time).agg(
+        *[F.sum(m).alias(m) for m in power], F.min("lo").alias("lo"), F.max("hi").alias("hi")
     )
     shown = cells.withColumn("_home", F.floor(F.col(time) / F.lit(width))).withColumn(
         "_bucket", F.explode(F.array(F.col("_home"), F.col("_home") + 1))
     )
-    frame = Window.partitionBy("_bucket").orderBy(time).rangeBetween(-width, -1)
+
+    def over(frame, prefix):
+        return [
+            *[F.coalesce(F.sum(m).over(frame), F.lit(0.0)).alias(f"{prefix}_{m}") for m in power],
+            F.min("lo").over(frame).alias(f"{prefix}_lo"),
+            F.max("hi").over(frame).alias(f"{prefix}_hi"),
+        ]
+
+    sliding = Window.partitionBy("_bucket").orderBy(time).rangeBetween(-width, -1)
     around = (
-        shown.select(
-            time,
-            "_bucket",
-            "_home",
-            *[F.coalesce(F.sum(m).over(frame), F.lit(0)).alias(f"w_{m}") for m in "nsqc"],
-            F.min("lo").over(frame).alias("w_lo"),
-            F.max("hi").over(frame).alias("w_hi"),
-        )
+        shown.select(time, "_bucket", "_home", *over(sliding, "w"))
         .where(F.col("_bucket") == F.col("_home"))
         .drop("_bucket", "_home")
     )
-    own = Window.partitionBy(time).orderBy(key).rowsBetween(_FIRST, 0)
-    rows = df.select(
+    earlier = Window.partitionBy(time).orderBy("_slot").rowsBetween(_FIRST, -1)
+    lookup = own.select(time, "_slot", *over(earlier, "e")).join(around, time, "left")
+
+    here = Window.partitionBy(time, "_slot").orderBy(key).rowsBetween(_FIRST, 0)
+    ranked = rows.select(
         "*",
-        F.count(F.lit(1)).over(own).alias("r_n"),
-        F.sum(v).over(own).alias("r_s"),
-        F.sum(v * v).over(own).alias("r_q"),
-        F.sum(v * v * v).over(own).alias("r_c"),
-        F.min(v).over(own).alias("r_lo"),
-        F.max(v).over(own).alias("r_hi"),
+        *[F.sum(e).over(here).cast("double").alias(f"r_{m}") for m, e in power.items()],
+        F.min(v).over(here).alias("r_lo"),
+        F.max(v).over(here).alias("r_hi"),
     )
-    n, s, q, c = (F.col(f"w_{m}") + F.col(f"r_{m}") for m in "nsqc")
-    lo = F.least("w_lo", "r_lo")
-    hi = F.greatest("w_hi", "r_hi")
+    n, s, q, c = (F.col(f"w_{m}") + F.col(f"e_{m}") + F.col(f"r_{m}") for m in power)
+    lo = F.least("w_lo", "e_lo", "r_lo")
+    hi = F.greatest("w_hi", "e_hi", "r_hi")
     mean = s / n
     m2 = F.greatest(q / n - mean * mean, F.lit(0.0))
     m3 = c / n - 3 * mean * q / n + 2 * mean * mean * mean
-    return rows.join(around, time, "left").select(
-        *[rows[x] for x in df.columns],
+    return ranked.join(lookup, [time, "_slot"], "left").select(
+        *df.columns,
         (hi - lo).alias(f"amount_range_{tag}_true"),
         F.when(hi > lo, (v - lo) / (hi - lo)).otherwise(F.lit(0.5)).alias(f"amount_percentile_in_range_{tag}_true"),
         F.when((hi > lo) & (m2 > 0), m3 / F.pow(m2, F.lit(1.5))).otherwise(F.lit(0.0)).alias(f"amount_skew_{tag}_true"),
