@@ -249,6 +249,10 @@ def cardinality(df: DataFrame, cols: Sequence[str], approximate: bool = False) -
         counted = per_column(df, cols, {"unique_values": F.approx_count_distinct, "rows": lambda c: F.count(F.lit(1))})
     else:
         counted = _column_summary(df, cols)
+    return _cardinality_flags(counted)
+
+
+def _cardinality_flags(counted: DataFrame) -> DataFrame:
     share = F.col("unique_values") / F.col("rows")
     return counted.select(
         "column",
@@ -260,7 +264,11 @@ def cardinality(df: DataFrame, cols: Sequence[str], approximate: bool = False) -
 
 
 def constant_features(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    return _column_summary(df, cols).select(
+    return _constant_flags(_column_summary(df, cols))
+
+
+def _constant_flags(summary: DataFrame) -> DataFrame:
+    return summary.select(
         "column",
         (F.col("unique_values") == 1).alias("is_constant"),
         (F.col("dominant_ratio") > 0.99).alias("is_quasi_constant"),
@@ -321,7 +329,10 @@ def issues(df: DataFrame, numeric: Sequence[str], label: str = "Class") -> DataF
         return names.where(F.col("detail") != "").select(F.lit(code).alias("issue_code"), "detail")
 
     everything = [*numeric, label]
-    summary = constant_features(df, everything)
+    # one row per column: computed once and kept as a local table
+    found = _column_summary(df, everything)
+    counted = df.sparkSession.createDataFrame(found.collect(), found.schema)
+    summary = _constant_flags(counted)
     pairs = correlation_pairs(df, numeric).where(F.abs("correlation") > S.HIGH_CORRELATION)
     found = [
         listed(null_counts(df, everything), "HIGH_MISSING_VALUES", f"missing_pct > {S.MISSING_LIMIT * 100}"),
@@ -329,7 +340,7 @@ def issues(df: DataFrame, numeric: Sequence[str], label: str = "Class") -> DataF
         .where("has_duplicates")
         .select(F.lit("DUPLICATE_ROWS").alias("issue_code"), F.col("duplicate_rows").cast("string").alias("detail")),
         listed(outliers(df, numeric), "HIGH_OUTLIERS", "is_high"),
-        listed(cardinality(df, everything), "POTENTIAL_ID_COLUMNS", "is_potential_id"),
+        listed(_cardinality_flags(counted), "POTENTIAL_ID_COLUMNS", "is_potential_id"),
         listed(summary, "CONSTANT_FEATURES", "is_constant"),
         listed(summary, "QUASI_CONSTANT_FEATURES", "is_quasi_constant"),
         pairs.agg(F.count(F.lit(1)).alias("n"))
