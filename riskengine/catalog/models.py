@@ -1 +1,173 @@
-"""placeholder"""
+"""Model queries (M1-M20) and composed runs. Fitted values differ between engines, so most
+have no SQL twin. The registered queries fit with a reduced number of rounds (EFFORT);
+the functions default to the full settings."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from riskengine.catalog import sql as Q
+from riskengine.catalog.registry import query
+from riskengine.functions import features as X
+from riskengine.operators import anomaly
+from riskengine.operators import metrics as M
+from riskengine.operators import models as L
+from riskengine.operators import prep
+from riskengine.plans import runs
+from riskengine.schema import V_COLS
+from riskengine.sources import adapter as A
+
+EFFORT = 0.05
+INPUTS = [*V_COLS, "Amount", "amount_log", "hour_sin", "hour_cos", "is_night", "fraud_feature_magnitude"]
+
+
+def training_rows(spark, sf):
+    """Row-local features of the whole log, split by time."""
+    rows = A.txn(spark, sf).transform(X.stateless).select("txn_id", "time_s", "Class", *INPUTS)
+    train, test, _at = prep.chronological_split(rows)
+    return train, test
+
+
+def _fit_and_score(name):
+    def run(spark, sf):
+        train, test = training_rows(spark, sf)
+        return L.score(L.fit(name, train, INPUTS, effort=EFFORT), test, name)
+
+    return run
+
+
+for _id, _name in zip(
+    ["m1", "m2", "m3", "m4", "m5", "m6", "m7"], [n for tier in L.TIERS.values() for n in tier]
+):
+    query(f"{_id}_{_name}")(_fit_and_score(_name))
+
+
+@query("m8_smote")
+def _(spark, sf):
+    train, _test = training_rows(spark, sf)
+    rare = train.where((F.col("Class") == 0) | (F.col("txn_id") % 4 == 0))  # scarcer fraud, so that rows are missing
+    return L.smote(rare, ["V1", "V2", "V3", "Amount"])
+
+
+@query(
+    "m8_smote_class_counts",
+    f"""WITH {Q.LOG}, c AS (SELECT min(time_s) + 0.8 * (max(time_s) - min(time_s)) AS edge FROM log),
+ r AS (SELECT Class FROM log, c WHERE time_s <= edge AND (Class = 0 OR txn_id % 4 = 0))
+ SELECT 0 AS Class, count(*) FILTER (Class = 0) AS n FROM r UNION ALL
+ SELECT 1, greatest(count(*) FILTER (Class = 1), CAST(floor(0.3::DOUBLE * count(*) FILTER (Class = 0)) AS BIGINT)) FROM r""",
+)
+def _(spark, sf):
+    train, _test = training_rows(spark, sf)
+    rare = train.where((F.col("Class") == 0) | (F.col("txn_id") % 4 == 0))
+    return L.smote(rare, ["V1", "V2", "V3", "Amount"]).groupBy("Class").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "m10_stratified_folds",
+    f"""WITH {Q.LOG}, f AS (SELECT Class, unnest([0, 1, 2]) AS fold, count(*) AS n FROM log GROUP BY Class)
+ SELECT Class, fold, n * (fold + 1) // 3 - n * fold // 3 AS rows FROM f""",
+)
+def _(spark, sf):
+    folded = L.stratified_folds(A.log(spark, sf).select("txn_id", "Class"))
+    return folded.groupBy("Class", "fold").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query("m10_cross_validation")
+def _(spark, sf):
+    train, _test = training_rows(spark, sf)
+    stored = runs.materialise(train, "cv")
+    return L.cross_validate("decision_tree", stored, INPUTS)
+
+
+@query("a24_fold_summary")
+def _(spark, sf):
+    train, _test = training_rows(spark, sf)
+    stored = runs.materialise(train, "cv")
+    return M.fold_summary(L.cross_validate("decision_tree", stored, INPUTS))
+
+
+@query("m11_isolation_forest")
+def _(spark, sf):
+    return anomaly.anomaly_features(A.txn(spark, sf))
+
+
+@query("m12_batch_scoring")
+def _(spark, sf):
+    train, test = training_rows(spark, sf)
+    model = L.fit("decision_tree", train, INPUTS)
+    return L.score(model, test.unionByName(train), "decision_tree")
+
+
+@query("m13_feature_importance")
+def _(spark, sf):
+    train, _test = training_rows(spark, sf)
+    return L.feature_importance(L.fit("random_forest", train, INPUTS, effort=EFFORT), INPUTS)
+
+
+@query("a23_normalised_importance")
+def _(spark, sf):
+    train, _test = training_rows(spark, sf)
+    return M.normalised_importance(L.feature_importance(L.fit("random_forest", train, INPUTS, effort=EFFORT), INPUTS))
+
+
+@query("m14_final_fit")
+def _(spark, sf):
+    train, test = training_rows(spark, sf)
+    every = train.unionByName(test)
+    return L.score(L.fit("logistic_regression", every, INPUTS, effort=EFFORT), every, "logistic_regression")
+
+
+@query("m16_reconstruction_error")
+def _(spark, sf):
+    rows = A.txn(spark, sf)
+    return anomaly.reconstruction_error(rows, anomaly.fit_reconstruction(rows)).select("txn_id", "Class", "error")
+
+
+@query("m17_embedding")
+def _(spark, sf):
+    rows = A.txn(spark, sf).select("txn_id", *V_COLS)
+    model = anomaly.fit_reconstruction(rows)
+    return anomaly.reconstruction_error(rows, model, keep_embedding=True).select("txn_id", "embedding")
+
+
+@query("m18_evaluation_run")
+def _(spark, sf):
+    return runs.evaluation(A.scored(spark, sf))["documents"]
+
+
+@query("m19_end_to_end_run")
+def _(spark, sf):
+    rows = A.txn(spark, sf).select("txn_id", "time_s", "Amount", "Class", *V_COLS)
+    return runs.end_to_end(rows, "baseline", effort=EFFORT, models=["logistic_regression", "decision_tree"])["documents"]
+
+
+@query("m20_anomaly_run")
+def _(spark, sf):
+    out = runs.anomaly_run(A.txn(spark, sf))
+    named = [out[f"{n}_metrics"].withColumn("split", F.lit(n)) for n in ("train", "test")]
+    return named[0].unionByName(named[1])
+
+
+@query("v24_profile_run")
+def _(spark, sf):
+    rows = runs.materialise(A.txn(spark, sf).select("Amount", "Class", "V1", "V2", "V14", "V17"), "profile")
+    tables = runs.profile(rows, ["Amount", "V1", "V2", "V14", "V17"])
+    out = None
+    for name, table in tables.items():
+        one = table.agg(F.count(F.lit(1)).alias("rows")).withColumn("table", F.lit(name))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query("a29_monitoring_run")
+def _(spark, sf):
+    s = A.scored(spark, sf)
+    edge = F.expr("TIMESTAMP_NTZ'2024-01-16 00:00:00'")
+    before = M.evaluate(s.where(F.col("ts") < edge), digits=None)
+    baseline = before.select(
+        "model_name",
+        F.col("average_precision").alias("pr_auc"),
+        "false_positive_rate",
+        F.lit(0.5).alias("threshold"),
+    )
+    return runs.monitoring(s.where(F.col("ts") >= edge), baseline)

@@ -136,7 +136,9 @@ def chronological_split(
     return train, test, at
 
 
-def hash_sample(df: DataFrame, n: int, keys: Sequence[str] = ("txn_id",), seed: int = 42) -> DataFrame:
+def hash_sample(
+    df: DataFrame, n: int, keys: Sequence[str] = ("txn_id",), seed: int = 42, rows: int | None = None
+) -> DataFrame:
     """The ``n`` rows that come first in a seeded hash order: the same rows on every run.
     A sampling operator: ``n`` is its purpose and a constant.
 
@@ -144,7 +146,7 @@ def hash_sample(df: DataFrame, n: int, keys: Sequence[str] = ("txn_id",), seed:
     scan before anything is ordered (that the n first are not among them is more than
     twenty standard deviations away)."""
     hashed = df.withColumn("_h", row_order(df, keys, seed))
-    rows = df.count()
+    rows = df.count() if rows is None else rows
     keep = 1.5 * n + 1000
     if rows > 2 * keep:
         hashed = hashed.where(F.col("_h") <= F.lit(int(-(2**63) + keep / rows * 2**64)))

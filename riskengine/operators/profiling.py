@@ -79,7 +79,9 @@ def amount_by_class(df: DataFrame, amount: str = "Amount", label: str = "Class")
 
 def label_correlation(df: DataFrame, cols: Sequence[str], label: str = "Class") -> DataFrame:
     """Pearson correlation of every column with the label, one pass."""
-    return per_column(df, cols, {"correlation": lambda c: F.corr(F.col(c).cast("double"), F.col(label).cast("double"))})
+    return per_column(
+        df, cols, {"correlation": lambda c: F.expr(f"corr(CAST(`{c}` AS DOUBLE), CAST(`{label}` AS DOUBLE))")}
+    )
 
 
 def ranked_correlation(df: DataFrame, cols: Sequence[str], label: str = "Class", top: int | None = None) -> DataFrame:

@@ -176,10 +176,12 @@ def outliers(df: DataFrame, cols: Sequence[str], z_limit: float = S.OUTLIER_Z) -
     """Values outside the quartile fences and values further than ``z_limit`` population
     deviations from the mean. Pass one finds the statistics, pass two counts."""
     clean = nan_to_null(df.select(*cols))
-    quart = quantiles(clean, cols, [0.25, 0.75])
     moments = clean.agg(
-        *[F.avg(c).alias(f"m_{c}") for c in cols], *[F.stddev_pop(c).alias(f"s_{c}") for c in cols]
+        F.expr("count(1) AS _rows"),
+        *[F.expr(f"avg(`{c}`) AS `m_{c}`") for c in cols],
+        *[F.expr(f"stddev_pop(`{c}`) AS `s_{c}`") for c in cols],
     ).first()
+    quart = quantiles(clean, cols, [0.25, 0.75], rows=moments["_rows"])
     fences = {}
     for c in cols:
         q1, q3 = quart[(None, c)]

@@ -32,16 +32,19 @@ def quantiles(
     probs: Sequence[float],
     by: str | None = None,
     one_task_rows: int = ONE_TASK_ROWS,
+    rows: int | None = None,
 ) -> dict[tuple, list[float | None]]:
-    """``{(group, column): [value per prob]}``; group is None without ``by``."""
+    """``{(group, column): [value per prob]}``; group is None without ``by``. Give ``rows``
+    when the row count is already known."""
     narrow = df.select(*([by] if by else []), *[_numeric(df, c).alias(c) for c in cols])
-    if df.count() <= one_task_rows:
+    if (df.count() if rows is None else rows) <= one_task_rows:
         return _in_one_task(narrow, cols, probs, by)
     return _bracketed(narrow, cols, probs, by)
 
 
 def _in_one_task(df, cols, probs, by):
-    exact = [F.percentile(c, F.array(*map(F.lit, probs))).alias(c) for c in cols]
+    wanted = ", ".join(f"{p!r}D" for p in map(float, probs))
+    exact = [F.expr(f"percentile(`{c}`, array({wanted})) AS `{c}`") for c in cols]
     grouped = df.groupBy(by) if by else df.groupBy()
     return {
         (row[by] if by else None, c): list(row[c]) if row[c] is not None else [None] * len(probs)

@@ -22,10 +22,13 @@ _BEFORE = (Window.unboundedPreceding, -1)
 
 
 def cut_slots(
-    df: DataFrame, order: str, out: str = "_slot", one_task_rows: int = ONE_TASK_ROWS
+    df: DataFrame, order: str, out: str = "_slot", one_task_rows: int = ONE_TASK_ROWS, at_most: int | None = None
 ) -> DataFrame:
     """Add a slot number that never decreases with ``order`` and splits the rows
-    evenly. The cut points are literals, so a retried task gets the same slots."""
+    evenly. The cut points are literals, so a retried task gets the same slots.
+    ``at_most``: a row count the caller already knows not to be exceeded."""
+    if at_most is not None and at_most <= one_task_rows:
+        return df.withColumn(out, F.lit(0))
     slots = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     probs = [i / slots for i in range(1, slots)]
     key = F.col(order).cast("double")
@@ -48,6 +51,7 @@ def running_totals(
     by: Sequence[str] = (),
     descending: bool = False,
     one_task_rows: int = ONE_TASK_ROWS,
+    at_most: int | None = None,
 ) -> DataFrame:
     """Add ``before_<m>``: the sum of ``m`` over rows ordered strictly before this one.
 
@@ -55,7 +59,7 @@ def running_totals(
     """
     by = list(by)
     ranked = df.withColumn("_ord", F.negative(order) if descending else F.col(order))
-    slotted = cut_slots(ranked, "_ord", one_task_rows=one_task_rows)
+    slotted = cut_slots(ranked, "_ord", one_task_rows=one_task_rows, at_most=at_most)
     within = Window.partitionBy(*by, "_slot").orderBy("_ord").rowsBetween(*_BEFORE)
     across = Window.partitionBy(*by).orderBy("_slot").rowsBetween(*_BEFORE)
 
@@ -86,7 +90,9 @@ def value_counts(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame
     return df.groupBy(*by, value).agg(F.count(F.lit(1)).alias("n"))
 
 
-def rows_at_ranks(df: DataFrame, order: Sequence[str], ranks: Sequence[int]) -> list[tuple]:
+def rows_at_ranks(
+    df: DataFrame, order: Sequence[str], ranks: Sequence[int], at_most: int | None = None
+) -> list[tuple]:
     """Order-key values of the rows at the given 1-based ranks.
 
     The rank is resolved one key column at a time: count per distinct value, find
@@ -110,7 +116,7 @@ def rows_at_ranks(df: DataFrame, order: Sequence[str], ranks: Sequence[int]) ->
                 [reduce(Column.__and__, [F.col(k) == F.lit(v) for k, v in zip(keys, vals)]) for vals in chosen],
             )
             rows = df.where(wanted)
-        totals = running_totals(value_counts(rows, col, keys), col, ["n"], by=keys)
+        totals = running_totals(value_counts(rows, col, keys), col, ["n"], by=keys, at_most=at_most)
         hits = [
             reduce(
                 Column.__and__,
@@ -147,14 +153,16 @@ def after(order: Sequence[str], bound: Sequence) -> Column:
     return beyond
 
 
-def decile_bounds(df: DataFrame, order: Sequence[str], buckets: int = 10) -> list[tuple]:
+def decile_bounds(
+    df: DataFrame, order: Sequence[str], buckets: int = 10, rows: int | None = None
+) -> list[tuple]:
     """Last row of each of the first ``buckets - 1`` quantile buckets of the rank."""
-    n = df.count()
+    n = df.count() if rows is None else rows
     if n < 2:
         return []
     # rank r (1-based) falls in bucket 1 + floor((r - 1) * k / (n - 1)), edges closed on the right
     last = [(b * (n - 1)) // buckets + 1 for b in range(1, buckets)]
-    return rows_at_ranks(df, order, last)
+    return rows_at_ranks(df, order, last, at_most=n)
 
 
 def quantile_bucket(
@@ -170,13 +178,13 @@ def quantile_bucket(
     return df.withColumn(out, bucket)
 
 
-def percentile_rank(df: DataFrame, value: str, out: str) -> DataFrame:
+def percentile_rank(df: DataFrame, value: str, out: str, at_most: int | None = None) -> DataFrame:
     """Average rank divided by the row count (ties share the mean of their ranks).
 
     The lookup holds one row per distinct value; a value shared by very many rows is
     split by the adaptive skew join, because nothing after it needs the partitioning."""
     counts = value_counts(df.where(F.col(value).isNotNull()), value)
-    table = running_totals(counts, value, ["n"])
+    table = running_totals(counts, value, ["n"], at_most=at_most)
     total = counts.agg(F.sum("n").alias("_all"))
     lookup = table.crossJoin(F.broadcast(total)).select(
         F.col(value).alias("_v"),

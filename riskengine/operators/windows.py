@@ -94,14 +94,20 @@ def _previous_cell(cells: DataFrame, time: str, by: list[str]) -> DataFrame:
     )
 
 
+def measure(df: DataFrame, cell: Sequence[str] = ("time_s",)) -> tuple[int, int]:
+    """(rows, rows of the fullest second): reads the time column only."""
+    fill = df.groupBy(*cell).count()
+    rows, fullest = fill.agg(F.sum("count"), F.max("count")).first()
+    return rows or 0, fullest or 0
+
+
 def _tie_slots(
     df: DataFrame, cell: list[str], key: str, split_ties: str | bool, tie_rows: int
 ) -> tuple[DataFrame, bool]:
     """Add ``_slot``. When a second is too full for one task its rows are split by even
     cuts of the unique key: no (second, slot) then holds more than a slot's share of all rows."""
     if split_ties == "auto":
-        fullest = df.groupBy(*cell).count().agg(F.max("count")).first()[0] or 0
-        split_ties = fullest > tie_rows
+        split_ties = measure(df, cell)[1] > tie_rows
     if split_ties:
         return cut_slots(df, key, "_slot", one_task_rows=0), True
     return df.withColumn("_slot", F.lit(0)), False
@@ -191,7 +197,7 @@ def trailing_stats(
     made = []
     for tag in windows:
         n, s, q = (F.coalesce(F.col(f"{m}_{tag}"), F.lit(0)) + tie[m] for m in _SUMS)
-        mean = s / n
+        mean = F.when(n == 1, v).otherwise(s / n)
         made += [
             n.cast("long").alias(f"count_{tag}"),
             mean.alias(f"avg_{tag}"),

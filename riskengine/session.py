@@ -15,6 +15,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # building a wide aggregate makes thousands of column calls; do not record a stack for each
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
