@@ -18,12 +18,13 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> N
 def to_transactions(df: DataFrame) -> DataFrame:
     """Rows in the shape of the ``transactions`` table; a missing component becomes 0."""
     have = set(df.columns)
-    ident = (
-        F.col("txn_id").cast("string")
-        if "txn_id" in have
+    if "transaction_id" in have:
+        ident = F.col("transaction_id")
+    elif "txn_id" in have:
+        ident = F.col("txn_id").cast("string")
+    else:
         # the id follows from the content, so a repeated load gives the same id
-        else F.sha2(F.concat_ws("|", *[F.col(c).cast("string") for c in df.columns]), 256)
-    )
+        ident = F.sha2(F.concat_ws("|", *[F.col(c).cast("string") for c in df.columns]), 256)
     # a source without arrival time gets the load time
     received = F.col("ts").cast("timestamp") if "ts" in have else F.current_timestamp()
     time = "time_s" if "time_s" in have else "Time"
