@@ -57,7 +57,8 @@ def batch_scoring(spark, sf_dir) -> dict[str, float]:
 
     train, test = training_rows(spark, sf_dir)
     rows = materialise(train.unionByName(test), "bench")
-    cached = rows.persist()
+    # the sample files hold one partition each; a real table has many
+    cached = rows.repartition(spark.sparkContext.defaultParallelism).persist()
     n = cached.count()
     out = {"rows": n}
     for name in ("logistic_regression", "decision_tree", "naive_bayes", "random_forest"):

@@ -298,9 +298,8 @@ def _(spark, sf):
 )
 def _(spark, sf):
     rows = A.log(spark, sf).select("txn_id", "card_id", "time_s", "Amount")
-    both = windows.trailing_stats(
-        windows.trailing_stats(rows, {}, recency="time_since_last_txn"), {}, by=["card_id"], recency="time_since_last_card"
-    )
+    overall = windows.trailing_stats(rows, {}, recency="time_since_last_txn")
+    both = windows.trailing_stats(overall, {}, by=["card_id"], recency="time_since_last_card", cells_from=rows)
     return both.select("txn_id", "time_since_last_txn", "time_since_last_card")
 
 

@@ -21,29 +21,39 @@ ONE_TASK_ROWS = 1_000_000
 _BEFORE = (Window.unboundedPreceding, -1)
 
 
-def cut_slots(
-    df: DataFrame, order: str, out: str = "_slot", one_task_rows: int = ONE_TASK_ROWS, at_most: int | None = None
-) -> DataFrame:
-    """Add a slot number that never decreases with ``order`` and splits the rows
-    evenly. The cut points are literals, so a retried task gets the same slots.
+def slot_splits(
+    df: DataFrame, order: str, one_task_rows: int = ONE_TASK_ROWS, at_most: int | None = None
+) -> list[float]:
+    """Cut points that split the rows evenly along ``order``; none when one task is enough.
     ``at_most``: a row count the caller already knows not to be exceeded."""
     if at_most is not None and at_most <= one_task_rows:
-        return df.withColumn(out, F.lit(0))
+        return []
     slots = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     probs = [i / slots for i in range(1, slots)]
-    key = F.col(order).cast("double")
-    rows, cuts = df.agg(F.count(order), F.percentile_approx(key, probs, 10_000)).first()
-    if rows <= one_task_rows:
+    rows, cuts = df.agg(F.count(order), F.percentile_approx(F.col(order).cast("double"), probs, 10_000)).first()
+    return [] if rows <= one_task_rows else sorted(set(cuts))
+
+
+def with_slots(df: DataFrame, order: str, splits: Sequence[float], out: str = "_slot") -> DataFrame:
+    """Add a slot number that never decreases with ``order``. The cut points are literals,
+    so a retried task, or another plan, gets the same slots."""
+    if not splits:
         return df.withColumn(out, F.lit(0))
-    splits = [-float("inf"), *sorted(set(cuts)), float("inf")]
+    edges = [-float("inf"), *splits, float("inf")]
     return (
-        Bucketizer(splits=splits, inputCol="_slot_key", outputCol="_slot_no", handleInvalid="keep")
-        .transform(df.withColumn("_slot_key", key))
+        Bucketizer(splits=edges, inputCol="_slot_key", outputCol="_slot_no", handleInvalid="keep")
+        .transform(df.withColumn("_slot_key", F.col(order).cast("double")))
         .withColumn(out, F.col("_slot_no").cast("int"))
         .drop("_slot_key", "_slot_no")
     )
 
 
+def cut_slots(
+    df: DataFrame, order: str, out: str = "_slot", one_task_rows: int = ONE_TASK_ROWS, at_most: int | None = None
+) -> DataFrame:
+    return with_slots(df, order, slot_splits(df, order, one_task_rows, at_most), out)
+
+
 def running_totals(
     df: DataFrame,
     order: str,
@@ -55,7 +65,8 @@ def running_totals(
 ) -> DataFrame:
     """Add ``before_<m>``: the sum of ``m`` over rows ordered strictly before this one.
 
-    ``df`` must hold one row per (``by``, ``order``): aggregate first, then call.
+    ``df`` must hold one row per (``by``, ``order``): aggregate first, then call. The
+    ``by`` columns must not be null.
     """
     by = list(by)
     ranked = df.withColumn("_ord", F.negative(order) if descending else F.col(order))
@@ -77,9 +88,8 @@ def running_totals(
             *[F.coalesce(F.sum(f"_t_{m}").over(across), zero(m)).alias(f"_off_{m}") for m in measures],
         )
     )
-    same = reduce(
-        Column.__and__, [F.col(c).eqNullSafe(F.col(f"_o_{c}")) for c in [*by, "_slot"]]
-    )
+    # plain equality keeps the partitioning of the window
+    same = reduce(Column.__and__, [F.col(c) == F.col(f"_o_{c}") for c in [*by, "_slot"]])
     joined = local.join(offsets, same, "left")
     return joined.withColumns(
         {f"before_{m}": F.col(f"before_{m}") + F.col(f"_off_{m}") for m in measures}
@@ -178,12 +188,16 @@ def quantile_bucket(
     return df.withColumn(out, bucket)
 
 
-def percentile_rank(df: DataFrame, value: str, out: str, at_most: int | None = None) -> DataFrame:
+def percentile_rank(
+    df: DataFrame, value: str, out: str, at_most: int | None = None, counts_from: DataFrame | None = None
+) -> DataFrame:
     """Average rank divided by the row count (ties share the mean of their ranks).
+    ``counts_from``: the same rows from a plan that is cheaper to read twice.
 
     The lookup holds one row per distinct value; a value shared by very many rows is
     split by the adaptive skew join, because nothing after it needs the partitioning."""
-    counts = value_counts(df.where(F.col(value).isNotNull()), value)
+    source = df if counts_from is None else counts_from
+    counts = value_counts(source.where(F.col(value).isNotNull()), value)
     table = running_totals(counts, value, ["n"], at_most=at_most)
     total = counts.agg(F.sum("n").alias("_all"))
     lookup = table.crossJoin(F.broadcast(total)).select(

@@ -19,12 +19,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskengine.operators.ranking import ONE_TASK_ROWS, cut_slots
+from riskengine.operators.ranking import ONE_TASK_ROWS, slot_splits, with_slots
 
 HOUR, DAY = 3600, 86400
 _FIRST = Window.unboundedPreceding
 _SUMS = ("n", "s", "q")
-_COARSE = DAY
 
 
 def time_cells(df: DataFrame, time: str, value: str, by: Sequence[str] = ()) -> DataFrame:
@@ -36,61 +35,57 @@ def time_cells(df: DataFrame, time: str, value: str, by: Sequence[str] = ()) ->
 
 
 def _same(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Column:
-    return reduce(Column.__and__, [left[c].eqNullSafe(right[c]) for c in cols])
+    # plain equality: a null-safe one hashes other expressions and would shuffle again
+    return reduce(Column.__and__, [left[c] == right[c] for c in cols])
 
 
-def _earlier_in_window(cells: DataFrame, time: str, by: list[str], width: int, tag: str) -> DataFrame:
-    """Sums over cells in [t - width, t) as a difference of two running sums. Each cell
-    is shown to its own time bucket and to the next one, so no frame crosses a task."""
-    bucket = F.floor(F.col(time) / F.lit(width))
-    shown = cells.withColumn("_home", bucket).withColumn(
-        "_bucket", F.explode(F.array(F.col("_home"), F.col("_home") + 1))
-    )
+def _look_back(
+    cells: DataFrame, totals: DataFrame, time: str, by: list[str], windows: Mapping[str, int], previous: bool
+) -> DataFrame:
+    """Per cell: sums over the earlier cells of every window and, on request, the time of
+    the previous cell and the number of rows before this one.
+
+    Time is cut into buckets as long as the widest window, and each cell is shown to its
+    own bucket and to the next one, so no frame leaves its partition and one sort serves
+    all windows. A window sum is a difference of two running sums. What lies further back
+    than a bucket is carried by ``totals``, one row per (segment, bucket)."""
+    shown = cells.withColumn("_bucket", F.explode(F.array(F.col("_home"), F.col("_home") + 1)))
     part = Window.partitionBy(*by, "_bucket").orderBy(time)
-    upto_previous = part.rangeBetween(_FIRST, -1)
-    before_window = part.rangeBetween(_FIRST, -width - 1)
-    out = {}
-    for m in _SUMS:
-        zero = F.lit(0).cast(cells.schema[m].dataType)
-        out[f"{m}_{tag}"] = F.coalesce(F.sum(m).over(upto_previous), zero) - F.coalesce(
-            F.sum(m).over(before_window), zero
-        )
-    return (
-        shown.select("*", *[c.alias(name) for name, c in out.items()])
-        .where(F.col("_bucket") == F.col("_home"))
-        .drop("_bucket", "_home")
-    )
-
-
-def _previous_cell(cells: DataFrame, time: str, by: list[str]) -> DataFrame:
-    """Time of the previous non-empty second and number of rows before this second.
-    The carry between days is a table with one row per (segment, day)."""
-    days = cells.withColumn("_day", F.floor(F.col(time) / F.lit(_COARSE)))
-    in_day = Window.partitionBy(*by, "_day").orderBy(time)
-    local = days.select(
-        "*",
-        F.lag(time).over(in_day).alias("_prev"),
-        F.coalesce(F.sum("n").over(in_day.rowsBetween(_FIRST, -1)), F.lit(0)).alias("_rows"),
-    )
-    # at most one row per segment and day: bounded by the time span, not by the data
-    across = Window.partitionBy(*by).orderBy("_day")
+    earlier = part.rowsBetween(_FIRST, -1)
+
+    def total(m, frame):
+        return F.coalesce(F.sum(m).over(frame), F.lit(0).cast(cells.schema[m].dataType))
+
+    made = [
+        (total(m, earlier) - total(m, part.rangeBetween(_FIRST, -int(width) - 1))).alias(f"{m}_{tag}")
+        for tag, width in windows.items()
+        for m in _SUMS
+    ]
+    if previous:
+        native = F.when(F.col("_bucket") == F.col("_home"), F.col("n"))
+        made += [
+            F.lag(time).over(part).alias("_prev"),
+            F.coalesce(F.sum(native).over(earlier), F.lit(0)).alias("_rows"),
+        ]
+    kept = shown.select("*", *made).where(F.col("_bucket") == F.col("_home")).drop("_home")
+    if not previous:
+        return kept.drop("_bucket")
+    # one row per segment and bucket: bounded by the time span, not by the number of rows
+    across = Window.partitionBy(*by).orderBy("_bucket")
     carry = (
-        days.groupBy(*by, "_day")
-        .agg(F.max(time).alias("_last"), F.sum("n").alias("_n"))
-        .select(
+        totals.select(
             *by,
-            "_day",
+            "_bucket",
             F.lag("_last").over(across).alias("_carry_prev"),
             F.coalesce(F.sum("_n").over(across.rowsBetween(_FIRST, -1)), F.lit(0)).alias("_carry_rows"),
         )
+        # spread again, so that the cells stay where their windows left them
+        .repartition(*by, "_bucket")
     )
-    return (
-        local.join(carry, _same(local, carry, [*by, "_day"]), "left")
-        .select(
-            *[local[c] for c in cells.columns],
-            F.coalesce(local["_prev"], carry["_carry_prev"]).alias("prev_time"),
-            (local["_rows"] + carry["_carry_rows"]).alias("rows_before"),
-        )
+    return kept.join(carry, _same(kept, carry, [*by, "_bucket"]), "left").select(
+        *[kept[c] for c in kept.columns if c not in ("_bucket", "_prev", "_rows")],
+        F.coalesce(kept["_prev"], carry["_carry_prev"]).alias("prev_time"),
+        (kept["_rows"] + carry["_carry_rows"]).alias("rows_before"),
     )
 
 
@@ -101,16 +96,12 @@ def measure(df: DataFrame, cell: Sequence[str] = ("time_s",)) -> tuple[int, int]
     return rows or 0, fullest or 0
 
 
-def _tie_slots(
-    df: DataFrame, cell: list[str], key: str, split_ties: str | bool, tie_rows: int
-) -> tuple[DataFrame, bool]:
-    """Add ``_slot``. When a second is too full for one task its rows are split by even
-    cuts of the unique key: no (second, slot) then holds more than a slot's share of all rows."""
+def _tie_splits(df: DataFrame, cell: list[str], key: str, split_ties: str | bool, tie_rows: int) -> list[float]:
+    """Cuts of the unique key for a second too full for one task, else none. With them no
+    (second, slot) holds more than a slot's even share of all rows."""
     if split_ties == "auto":
         split_ties = measure(df, cell)[1] > tie_rows
-    if split_ties:
-        return cut_slots(df, key, "_slot", one_task_rows=0), True
-    return df.withColumn("_slot", F.lit(0)), False
+    return slot_splits(df, key, one_task_rows=0) if split_ties else []
 
 
 def trailing_stats(
@@ -124,33 +115,41 @@ def trailing_stats(
     recency: str | None = None,
     position: str | None = None,
     history: DataFrame | None = None,
+    cells_from: DataFrame | None = None,
     split_ties: str | bool = "auto",
     tie_rows: int = ONE_TASK_ROWS,
 ) -> DataFrame:
     """Add ``count_<w>``, ``avg_<w>``, ``std_<w>`` (population) per window, optionally the
-    seconds since the previous row and the global 0-based row position.
+    seconds since the previous row and the 0-based row position in its segment.
+
+    Times and segments must not be null (the validation gate sees to it).
 
     ``time`` is whole seconds, ``key`` a unique number that orders equal times.
     ``history`` may hold earlier cells (as made by :func:`time_cells`) that count but
-    are not returned. ``split_ties``: "auto" measures the fullest second first.
+    are not returned. ``cells_from``: the same rows from a plan that is cheaper to read
+    than ``df``, which then runs once. ``split_ties``: "auto" measures the fullest second.
     """
     by = list(by)
     cell = [*by, time]
-    rows, split_ties = _tie_slots(df, cell, key, split_ties, tie_rows)
+    source = df if cells_from is None else cells_from
+    splits = _tie_splits(source, cell, key, split_ties, tie_rows)
+    split_ties = bool(splits)
+    rows = with_slots(df, key, splits)
 
-    own = time_cells(rows, time, value, [*by, "_slot"])
+    own = time_cells(with_slots(source, key, splits), time, value, [*by, "_slot"])
     cells = own.groupBy(*cell).agg(*[F.sum(m).alias(m) for m in _SUMS]) if split_ties else own.drop("_slot")
     present = cells.select(*cell)
+    home = F.floor(F.col(time) / F.lit(max(windows.values(), default=DAY)))
+    bucket_rows = source.withColumn("n", F.lit(1).cast("long"))
     if history is not None:
         cells = (
             cells.unionByName(history.select(*cell, *_SUMS))
             .groupBy(*cell)
             .agg(*[F.sum(m).alias(m) for m in _SUMS])
         )
-    for tag, width in windows.items():
-        cells = _earlier_in_window(cells, time, by, int(width), tag)
-    if recency or position:
-        cells = _previous_cell(cells, time, by)
+        bucket_rows = cells
+    totals = bucket_rows.groupBy(*by, home.alias("_bucket")).agg(F.max(time).alias("_last"), F.sum("n").alias("_n"))
+    cells = _look_back(cells.withColumn("_home", home), totals, time, by, windows, bool(recency or position))
     lookup = cells.drop(*_SUMS)
     if history is not None:
         lookup = lookup.join(present, _same(lookup, present, cell), "left_semi")
@@ -232,7 +231,7 @@ def window_range(
     complete the row's own second.
     """
     v = F.col(value).cast("double")
-    rows, split_ties = _tie_slots(df, [time], key, split_ties, tie_rows)
+    rows = with_slots(df, key, _tie_splits(df, [time], key, split_ties, tie_rows))
     power = {"n": F.lit(1), "s": v, "q": v * v, "c": v * v * v}
     own = rows.groupBy(time, "_slot").agg(
         *[F.sum(e).cast("double").alias(m) for m, e in power.items()], F.min(v).alias("lo"), F.max(v).alias("hi")
