@@ -40,11 +40,11 @@ def confusion_matrix(
 def rates(counts: DataFrame, digits: int | None = 4) -> DataFrame:
     """Rates from tn, fp, fn, tp; an empty denominator gives 0. Rounded half-even."""
     tn, fp, fn, tp = (F.col(c) for c in ("tn", "fp", "fn", "tp"))
-    p, r = ratio(tp, tp + fp), ratio(tp, tp + fn)
     made = {
-        "precision": p,
-        "recall": r,
-        "f1_score": F.when(p + r > 0, 2 * p * r / (p + r)).otherwise(0.0),
+        "precision": ratio(tp, tp + fp),
+        "recall": ratio(tp, tp + fn),
+        # from the counts: the quotient of the rounded rates would miss exact halves
+        "f1_score": ratio(2 * tp, 2 * tp + fp + fn),
         "specificity": ratio(tn, tn + fp),
         "false_positive_rate": ratio(fp, fp + tn),
         "false_negative_rate": ratio(fn, fn + tp),
