@@ -262,3 +262,92 @@ def _(spark, sf):
 )
 def _(spark, sf):
     return M.operating_points(A.scored(spark, sf))
+
+
+@query(
+    "a24_fold_aggregation",
+    f"""WITH {Q.LOG}, f AS (SELECT 'card_' || (card_id % 20) AS model_name, CASE WHEN Class = 1 THEN 'fraud_amount' ELSE 'amount' END AS metric,
+ CAST(txn_id % 3 AS INTEGER) AS fold, round(avg(Amount), 3) AS value FROM log GROUP BY ALL)
+ SELECT model_name, metric, round(avg(value), 2) AS mean, round(stddev_pop(value), 2) AS std, array_to_string(list(CAST(round(value, 0) AS BIGINT) ORDER BY fold), ',') AS folds FROM f GROUP BY 1, 2""",
+)
+def _(spark, sf):
+    """Mean, deviation and ordered values per model and metric, on figures of the log."""
+    folds = (
+        A.log(spark, sf)
+        .groupBy(
+            F.concat(F.lit("card_"), F.col("card_id") % 20).alias("model_name"),
+            F.when(F.col("Class") == 1, "fraud_amount").otherwise("amount").alias("metric"),
+            (F.col("txn_id") % 3).cast("int").alias("fold"),
+        )
+        .agg(F.round(F.avg("Amount"), 3).alias("value"))
+    )
+    out = M.fold_summary(folds, digits=6)
+    whole = F.transform("folds", lambda x: F.round(x, 0).cast("long").cast("string"))
+    return rounded(out, ["mean", "std"], 2).withColumn("folds", F.array_join(whole, ","))
+
+
+_IMPORTANCE = ["V1", "V3", "V4", "V7", "V10", "V12", "V14", "V17", "Amount", "amount_log", "hour_sin"]
+
+
+@query(
+    "a23_importance_table",
+    f"""WITH {Q.TXN}, x AS (SELECT *, ln(1 + Amount) AS amount_log, sin(2 * pi() * (time_s // 3600 % 24) / 24) AS hour_sin FROM txn), i AS ("""
+    + " UNION ALL ".join(f"SELECT '{c}' AS feature, abs(corr({c}, Class)) AS importance FROM x" for c in _IMPORTANCE)
+    + """), t AS (SELECT * FROM i ORDER BY importance DESC, feature LIMIT 10)
+ SELECT feature, round(importance, 6) AS importance, round(importance / (SELECT max(importance) FROM t), 6) AS relative,
+ feature LIKE 'amount_%' OR feature = 'hour_sin' AS is_engineered FROM t""",
+)
+def _(spark, sf):
+    """The importance table, with the absolute label correlation as importance."""
+    from riskengine.functions import features as X
+    from riskengine.operators.profiling import label_correlation
+
+    rows = A.txn(spark, sf).transform(X.calendar).transform(X.amount_log)
+    found = label_correlation(rows, _IMPORTANCE).select(
+        F.col("column").alias("feature"), F.abs("correlation").alias("importance")
+    )
+    return rounded(M.normalised_importance(found), ["importance", "relative"])
+
+
+@query(
+    "m18_evaluation_documents",
+    f"""WITH {Q.SCORED}, {CURVE}, {_C05}, a AS (SELECT model_name, CAST(sum(n) AS BIGINT) AS test_samples,
+ sum(pos * ((before_pos + pos) / (before_n + n) + CASE WHEN before_n > 0 THEN before_pos / before_n ELSE 1 END) / 2) / sum(pos) AS pr_auc,
+ sum(pos * ((before_pos + pos) / (before_n + n))) / sum(pos) AS average_precision,
+ sum((n - pos) * (before_pos + pos / 2)) / sum(pos) / sum(n - pos) AS roc_auc FROM k GROUP BY model_name)
+ SELECT model_name, round_even(pr_auc, 4) AS pr_auc, round_even(roc_auc, 4) AS roc_auc, round_even(average_precision, 4) AS average_precision,
+ round_even(tp / (tp + fp), 4) AS precision, round_even(tp / (tp + fn), 4) AS recall, round_even(2 * tp / (2 * tp + fp + fn), 4) AS f1_score,
+ round_even(tn / (tn + fp), 4) AS specificity, round_even(fp / (tn + fp), 4) AS false_positive_rate, round_even(fn / (tp + fn), 4) AS false_negative_rate,
+ tn, fp, fn, tp, test_samples FROM a JOIN c USING (model_name)""",
+)
+def _(spark, sf):
+    docs = M.evaluate(A.scored(spark, sf))
+    cells = {"tn": "true_negatives", "fp": "false_positives", "fn": "false_negatives", "tp": "true_positives"}
+    return docs.select(
+        "model_name", "pr_auc", "roc_auc", "average_precision", *M.RATES,
+        *[F.col(f"confusion_matrix.{long}").alias(short) for short, long in cells.items()], "test_samples",
+    )
+
+
+_HALF = """{0}d AS (SELECT model_name, p, count(*) AS n, CAST(sum(label) AS BIGINT) AS pos FROM scored WHERE ts {1} TIMESTAMP '2024-01-16' GROUP BY ALL),
+ {0}k AS (SELECT *, sum(n) OVER w - n AS before_n, sum(pos) OVER w - pos AS before_pos FROM {0}d WINDOW w AS (PARTITION BY model_name ORDER BY p DESC ROWS UNBOUNDED PRECEDING)),
+ {0} AS (SELECT model_name, sum(pos * ((before_pos + pos) / (before_n + n))) / sum(pos) AS ap, sum(n - pos) FILTER (p >= 0.5) / sum(n - pos) AS fpr FROM {0}k GROUP BY 1)"""
+
+
+@query(
+    "a29_monitoring_verdict",
+    f"""WITH {Q.SCORED}, {_HALF.format('b', '<')}, {_HALF.format('c', '>=')} SELECT model_name, round(b.ap, 6) AS baseline_pr_auc, round(c.ap, 6) AS current_pr_auc,
+ round(b.fpr, 6) AS baseline_fpr, round(c.fpr, 6) AS current_fpr, round(c.fpr / b.fpr - 1, 5) AS fpr_relative_change, round(1 - c.ap / b.ap, 5) AS pr_auc_relative_change,
+ c.fpr / b.fpr - 1 > 0.2 AS fpr_warning, 1 - c.ap / b.ap > 0.1 AS pr_auc_warning, c.fpr / b.fpr - 1 > 0.2 OR 1 - c.ap / b.ap > 0.1 AS any_warning FROM b JOIN c USING (model_name)""",
+)
+def _(spark, sf):
+    from riskengine.plans import runs
+
+    s = A.scored(spark, sf)
+    edge = F.expr("TIMESTAMP_NTZ'2024-01-16 00:00:00'")
+    baseline = M.evaluate(s.where(F.col("ts") < edge), digits=None).select(
+        "model_name", F.col("average_precision").alias("pr_auc"), "false_positive_rate", F.lit(0.5).alias("threshold")
+    )
+    out = runs.monitoring(s.where(F.col("ts") >= edge), baseline).drop("fpr_limit", "pr_auc_limit")
+    out = rounded(out, ["baseline_pr_auc", "current_pr_auc", "baseline_fpr", "current_fpr"])
+    return rounded(out, ["fpr_relative_change", "pr_auc_relative_change"], 5)

@@ -40,6 +40,12 @@ def _(spark, sf):
     return V.transaction_results(*audit(spark, sf))
 
 
+@query("j1_transaction_results_split", f"WITH {Q.AUDIT}, {RESULTS} SELECT * FROM results")
+def _(spark, sf):
+    """The same view on the plan for a transaction with very many predictions."""
+    return V.transaction_results(*audit(spark, sf), split_hot=True)
+
+
 @query(
     "p20_outcome_category",
     f"""WITH {Q.AUDIT}, {RESULTS} SELECT result_category, result_status, count(*) AS rows, round(avg(amount), 6) AS avg_amount

@@ -15,9 +15,22 @@ CATEGORY = ("true_positive", "false_positive", "false_negative", "true_negative"
 STATUS = ("✅ Caught", "❌ False Alarm", "⚠️ Missed Fraud", "✅ OK", "⏳ Pending")
 
 
-def transaction_results(transactions: DataFrame, predictions: DataFrame, ground_truth: DataFrame) -> DataFrame:
+HOT_KEY_ROWS = 1_000_000
+
+
+def transaction_results(
+    transactions: DataFrame,
+    predictions: DataFrame,
+    ground_truth: DataFrame,
+    split_hot: str | bool = "auto",
+) -> DataFrame:
     """Transactions with their predictions and label, if any. Both joins use the same
-    key, so the rows are partitioned once."""
+    key, so the rows are partitioned once.
+
+    The optional side of an outer join cannot be split, so one transaction with a huge
+    number of predictions would end up in one task. "auto" measures the fullest key; past
+    the limit the matches come from an inner join (which adaptive execution does split)
+    and the transactions without prediction are added."""
     label = ground_truth.select(
         "transaction_id",
         F.col("true_label").alias("actual_fraud"),
@@ -32,7 +45,15 @@ def transaction_results(transactions: DataFrame, predictions: DataFrame, ground_
         "model_version",
         "inference_time_ms",
     )
-    joined = transactions.join(guess, "transaction_id", "left").join(label, "transaction_id", "left")
+    if split_hot == "auto":
+        fullest = predictions.groupBy("transaction_id").count().agg(F.max("count")).first()[0] or 0
+        split_hot = fullest > HOT_KEY_ROWS
+    if split_hot:
+        labelled = transactions.join(label, "transaction_id", "left")
+        rest = labelled.join(guess.select("transaction_id"), "transaction_id", "left_anti")
+        joined = guess.join(labelled, "transaction_id").unionByName(rest, allowMissingColumns=True)
+    else:
+        joined = transactions.join(guess, "transaction_id", "left").join(label, "transaction_id", "left")
     flag, actual = F.col("predicted_fraud"), F.col("actual_fraud")
     return joined.select(
         "transaction_id",

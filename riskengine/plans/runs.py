@@ -93,7 +93,7 @@ def monitoring(
     V.check_limits(threshold or 0.0, fpr_limit, pr_auc_limit, 1.0)
     # one row per model: a join on the model name
     limits = baseline.select("model_name", (F.lit(threshold) if threshold else F.col("threshold")).alias("_t"))
-    judged = labelled.join(F.broadcast(limits), "model_name")
+    judged = labelled.join(limits, "model_name")
     cells = M.confusion(F.col("p") >= F.col("_t"), F.col("label"))
     counts = M.rates(judged.groupBy("model_name").agg(*[c.alias(k) for k, c in cells.items()]), None)
     areas = M.ranking_metrics(labelled, digits=None)
