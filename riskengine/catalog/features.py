@@ -379,16 +379,18 @@ def _(spark, sf):
     return rounded(out, ["avg_own"]).select("txn_id", "count_own", "avg_own")
 
 
-_BASELINE = f"""WITH {_SEG}, {Q.trailing('bucketed', H, 'w1h')}, {Q.trailing('bucketed', D, 'w24h')}, rec AS (SELECT txn_id,
+_BASE_CTES = f"""{_SEG}, {Q.trailing('bucketed', H, 'w1h')}, {Q.trailing('bucketed', D, 'w24h')}, rec AS (SELECT txn_id,
  coalesce(time_s - lag(time_s) OVER (ORDER BY time_s, txn_id), 0) AS time_since_last_txn,
  coalesce(time_s - lag(time_s) OVER (PARTITION BY amount_bucket ORDER BY time_s, txn_id), 0) AS time_since_last_txn_same_bucket FROM bucketed),
- vec AS (SELECT vec_id, {", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS {c}" for i, c in enumerate(V_COLS))} FROM embeddings)
- SELECT b.txn_id, b.Class, b.Amount, {_CAL}, CAST(count_w1h AS BIGINT) AS txn_count_1h, round(round(avg_w1h, 9), 6) AS avg_amount_1h, round(std_w1h, 3) AS std_amount_1h,
+ vec AS (SELECT vec_id, {", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS {c}" for i, c in enumerate(V_COLS))} FROM embeddings)"""
+_BASE_COLUMNS = f"""b.txn_id, b.Class, b.Amount, {_CAL}, CAST(count_w1h AS BIGINT) AS txn_count_1h, round(round(avg_w1h, 9), 6) AS avg_amount_1h, round(std_w1h, 3) AS std_amount_1h,
  CAST(count_w24h AS BIGINT) AS txn_count_24h, round(round(avg_w24h, 9), 6) AS avg_amount_24h, round(std_w24h, 3) AS std_amount_24h,
  CAST(amount_bucket AS INTEGER) AS amount_bucket, CAST(count_seg AS BIGINT) AS txn_count_1h_by_bucket, round(round(avg_seg, 9), 6) AS avg_amount_1h_by_bucket,
  round(round(b.Amount / (avg_seg + 1e-6::DOUBLE), 9), 6) AS amount_to_bucket_avg_ratio, time_since_last_txn, time_since_last_txn_same_bucket,
- round(round(ln(1 + b.Amount), 9), 6) AS amount_log, {Q.V_LIST} FROM bucketed b JOIN seg USING (txn_id) JOIN w1h USING (txn_id) JOIN w24h USING (txn_id)
+ round(round(ln(1 + b.Amount), 9), 6) AS amount_log, {Q.V_LIST}"""
+_BASE_FROM = """bucketed b JOIN seg USING (txn_id) JOIN w1h USING (txn_id) JOIN w24h USING (txn_id)
  JOIN rec USING (txn_id) JOIN vec ON vec_id = b.txn_id % 500"""
+_BASELINE = f"WITH {_BASE_CTES} SELECT {_BASE_COLUMNS} FROM {_BASE_FROM}"
 
 _BASELINE_FLOATS = [
     "hour_sin", "hour_cos", "avg_amount_1h", "std_amount_1h", "avg_amount_24h", "std_amount_24h",
@@ -403,6 +405,26 @@ def _(spark, sf):
     return snapped(rounded(out, deviations, STD_DIGITS), [c for c in _BASELINE_FLOATS if c not in deviations])
 
 
-@query("p14_advanced_feature_set")
+_DEVIATIONS = ["amount_ratio_1h", "amount_ratio_24h", "amount_zscore_1h", "amount_cv_1h"]
+_ADVANCED = f"""WITH {_BASE_CTES}, {Q.trailing('bucketed', 600, 'w10m')}, pr AS (SELECT txn_id,
+ round((rank() OVER (ORDER BY Amount) + (count(*) OVER (PARTITION BY Amount) - 1) / 2) / count(*) OVER (), 9) AS amount_percentile FROM bucketed)
+ SELECT {_BASE_COLUMNS}, {_PRODUCTS}, {_RATIOS}, {_SIGNAL}, round(b.Amount / (avg_w1h + 1e-6::DOUBLE), 5) AS amount_ratio_1h,
+ round(b.Amount / (avg_w24h + 1e-6::DOUBLE), 5) AS amount_ratio_24h, round((b.Amount - avg_w1h) / (std_w1h + 1e-6::DOUBLE), 5) AS amount_zscore_1h,
+ round(std_w1h / (avg_w1h + 1e-6::DOUBLE), 5) AS amount_cv_1h, 0.0::DOUBLE AS amount_range_1h, 0.5::DOUBLE AS amount_percentile_in_range,
+ 0.0::DOUBLE AS amount_skew_1h, CAST(count_w10m AS BIGINT) AS txn_count_10min, round(round(avg_w10m, 9), 6) AS avg_amount_10min,
+ round(count_w1h * 24 / (count_w24h + 1), 6) AS velocity_spike_ratio, time_since_last_txn AS seconds_since_last_txn, amount_percentile,
+ CAST(amount_bucket AS INTEGER) AS amount_decile, CASE WHEN b.Amount = 0 THEN 1 ELSE 0 END AS is_zero_amount
+ FROM {_BASE_FROM} JOIN w10m USING (txn_id) JOIN pr USING (txn_id)"""
+
+
+@query("p14_advanced_feature_set", _ADVANCED)
 def _(spark, sf):
-    return P.advanced(A.txn(spark, sf))
+    """Everything but the two anomaly columns, which the isolation forest query shows."""
+    out = P.advanced(A.txn(spark, sf).drop("card_id", "ts", "t_us")).drop("time_s", "anomaly_score", "anomaly_decision")
+    products = [f"{a}_{b}" for a, b in X.INTERACTIONS]
+    ratios = [f"{a}_to_{b}" for a, b in X.COMPONENT_RATIOS]
+    deviations = ["std_amount_1h", "std_amount_24h"]
+    out = rounded(out, deviations, STD_DIGITS)
+    out = snapped(out, [*[c for c in _BASELINE_FLOATS if c not in deviations], "avg_amount_10min"])
+    out = rounded(rounded(out, [*products, "fraud_feature_magnitude"], 8), ratios, 4)
+    return rounded(rounded(rounded(out, _DEVIATIONS, 5), ["velocity_spike_ratio"]), ["amount_percentile"], 9)

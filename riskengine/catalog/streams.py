@@ -125,7 +125,10 @@ def _(spark, sf):
     return replay_exact(spark, sf).select("txn_id", "time_since_last_txn")
 
 
-@query("r7_audit_sinks")
+@query(
+    "r7_audit_sinks",
+    f"""WITH {Q.LOG} SELECT CAST(txn_id AS VARCHAR) AS transaction_id, CAST(time_s AS DOUBLE) AS time_seconds, Amount AS amount, 'decision_tree' AS model_name FROM log""",
+)
 def _(spark, sf):
     train, _test = training_rows(spark, sf)
     model = L.fit("decision_tree", train, INPUTS)
@@ -133,7 +136,7 @@ def _(spark, sf):
     vectors = F.broadcast(A.component_vectors(spark, sf))  # at most 500 rows
     rows = event_stream(spark, sf).join(vectors, F.col("txn_id") % A.VECTORS == F.col("vec_id"))
     E.run_available(E.score_requests(rows, model), ckpt, writer=E.audit(tx, pred, log, "decision_tree"))
-    p = spark.read.parquet(pred).select("transaction_id", "model_name", "fraud_probability", "is_fraud")
+    p = spark.read.parquet(pred).select("transaction_id", "model_name")
     return spark.read.parquet(tx).select("transaction_id", "time_seconds", "amount").join(p, "transaction_id")
 
 
