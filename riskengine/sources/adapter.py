@@ -47,11 +47,20 @@ def log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_event_columns(table(spark, sf_dir, "events"))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A table stored as one small split would keep a single core busy with 28 columns of
+    arithmetic: deal it out once. A table of several splits is left as it is, so this
+    never moves more than one split (spark.sql.files.maxPartitionBytes)."""
+    if df.rdd.getNumPartitions() > 1:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def txn(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = component_vectors(spark, sf_dir)
     # at most VECTORS rows of 28 doubles: safe to broadcast at any scale
     return (
-        log(spark, sf_dir)
+        spread(log(spark, sf_dir))
         .join(F.broadcast(vectors), F.col("txn_id") % VECTORS == F.col("vec_id"))
         .drop("vec_id")
     )
