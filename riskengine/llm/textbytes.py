@@ -83,12 +83,13 @@ def blocks(data: np.ndarray, offsets: np.ndarray, limit: int = 1 << 19) -> Itera
         lo = hi
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of the words of several texts, and where each text's words begin in them."""
+def words(data: np.ndarray, offsets: np.ndarray, spaces: np.ndarray = WORD_SPACES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the words of several texts, and where each text's words begin in them.
+    ``spaces``: by byte, what lies between words."""
     if not len(data):
         none = np.zeros(0, dtype=np.int64)
         return none, none, np.zeros(len(offsets), dtype=np.int64)
-    solid = ~WORD_SPACES[data]
+    solid = ~spaces[data]
     first, last = solid.copy(), solid.copy()
     first[1:] &= ~solid[:-1]
     last[:-1] &= ~solid[1:]
