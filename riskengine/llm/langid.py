@@ -72,7 +72,7 @@ def _suffix(packed: np.ndarray, n: int) -> np.ndarray:
 
 
 def _key(packed: np.ndarray, n: int) -> np.ndarray:
-    return mix(packed + U(0x9E3779B97F4A7C15) * U(n))
+    return mix(packed + U(0x9E3779B97F4A7C15 * n % (1 << 64)))
 
 
 class LanguageModel:
