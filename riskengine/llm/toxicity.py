@@ -26,6 +26,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -227,14 +228,10 @@ def score(docs: DataFrame, model: Classifier) -> DataFrame:
 
 def without_toxic(docs: DataFrame, model: Classifier) -> DataFrame:
     """The rows whose text scores below the threshold, with all their columns."""
-    from pyspark.sql.pandas.functions import pandas_udf
-
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @pandas_udf("double")
-    def text_score(texts):
-        import pandas as pd
-
+    @F.pandas_udf("double")
+    def text_score(texts: pd.Series) -> pd.Series:
         return pd.Series(shared.value.scores(pa.array(texts, pa.string())))
 
-    return docs.where(F.coalesce(text_score(F.col("text").cast("string")), F.lit(0.0)) < THRESHOLD)
+    return docs.where(text_score(F.col("text").cast("string")) < THRESHOLD)
