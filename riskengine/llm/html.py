@@ -38,6 +38,7 @@ MARKUP = re.compile(
 ATTRIBUTE = re.compile(r"""([a-zA-Z_:][-\w:.]*)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 #: Their content is no text.
 RAW = {"script", "style", "template", "noscript", "iframe", "svg", "math", "object", "canvas", "audio", "video", "head", "title"}
+RAW_ENDS = {tag: re.compile(rf"</{tag}\b[^>]*>" + (r"|(?=<body\b)" if tag == "head" else ""), re.I) for tag in RAW}
 #: Elements that hold what surrounds an article.
 AROUND = {"nav", "header", "footer", "aside", "form", "menu", "dialog", "button", "select", "textarea", "fieldset", "label"}
 INLINE = {
@@ -80,7 +81,6 @@ def page_lines(page: str) -> list[tuple[int, str]]:
     text: list[str] = []
     skip: list | None = None  # tag, depth, kind of the surrounding part that is being read
     article = heading = 0
-    raw_until = None
     at = 0
 
     def close() -> None:
@@ -90,8 +90,8 @@ def page_lines(page: str) -> list[tuple[int, str]]:
             if line:
                 out.append((AROUND_IT if skip else ARTICLE if article else HEADING if heading else OPEN, line))
 
-    for m in MARKUP.finditer(page):
-        if raw_until is None and m.start() > at:
+    while m := MARKUP.search(page, at):
+        if m.start() > at:
             text.append(page[at : m.start()])
         at = m.end()
         tag = (m[2] or m[5] or "").lower()
@@ -99,14 +99,11 @@ def page_lines(page: str) -> list[tuple[int, str]]:
             continue
         ending = bool(m[1] or m[4])
         attributes = m[3] or m[6] or ""
-        if raw_until is not None:
-            if ending and tag == raw_until or tag == "body" and raw_until == "head":
-                raw_until = None
-            continue
         if tag in RAW:
             if not ending and not attributes.endswith("/"):
                 close()
-                raw_until = tag
+                end = RAW_ENDS[tag].search(page, at)
+                at = end.end() if end else len(page)
             continue
         if tag not in INLINE:
             close()
@@ -135,8 +132,7 @@ def page_lines(page: str) -> list[tuple[int, str]]:
             article += 1
         elif tag == "h1":
             heading = 1
-    if raw_until is None:
-        text.append(page[at:])
+    text.append(page[at:])
     close()
     return out
 

@@ -130,7 +130,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     seen = materialise(sketches(docs), "minhash-sketches")
     keys = ["n_shingles", "set1", "set2"]
     filled = seen.where("n_shingles > 0")
-    classes = materialise(filled.groupBy(*keys).agg(F.min(F.struct("doc_id", "bands")).alias("first")).select(*keys, F.col("first.doc_id").alias("rep"), F.col("first.bands").alias("bands")), "minhash-classes")
+    classes = materialise(filled.groupBy(*keys).agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")), "minhash-classes")
     members = classes.where("rep is not null").select("rep", F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket"))
     crowded = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("bucket")
     members = materialise(members.join(crowded, "bucket"), "minhash-buckets")
