@@ -201,8 +201,7 @@ def _(spark, sf):
 # ---- windows ----
 
 
-# deviations come from two large sums: compare fewer places
-STD_DIGITS = 3
+STD_DIGITS = 6
 
 
 def snapped(df, cols):
@@ -212,8 +211,7 @@ def snapped(df, cols):
 
 
 def stats(df, spec, **kw):
-    out = snapped(windows.trailing_stats(df, spec, **kw), [f"avg_{t}" for t in spec])
-    return rounded(out, [f"std_{t}" for t in spec], STD_DIGITS)
+    return snapped(windows.trailing_stats(df, spec, **kw), [f"{m}_{t}" for t in spec for m in ("avg", "std")])
 
 
 def _stats_sql(table, tags, key="txn_id", by=""):
@@ -221,7 +219,7 @@ def _stats_sql(table, tags, key="txn_id", by=""):
     first = next(iter(tags))
     joins = " ".join(f"JOIN {t} USING ({key})" for t in tags if t != first)
     cols = ", ".join(
-        f"CAST(count_{t} AS BIGINT) AS count_{t}, round(round(avg_{t}, 9), 6) AS avg_{t}, round(std_{t}, {STD_DIGITS}) AS std_{t}" for t in tags
+        f"CAST(count_{t} AS BIGINT) AS count_{t}, round(round(avg_{t}, 9), 6) AS avg_{t}, round(round(std_{t}, 9), {STD_DIGITS}) AS std_{t}" for t in tags
     )
     return ctes, f"SELECT {key}, {cols} FROM {first} {joins}"
 
@@ -236,17 +234,17 @@ def _(spark, sf):
     return stats(A.log(spark, sf).select("txn_id", "time_s", "Amount"), {"w1h": H}).drop("time_s", "Amount")
 
 
-@query(*_window_query("w1_trailing_window_ties", {"w2d": 2 * D}, Q.SHIPMENTS, "shipments", "row_key"))
+@query(*_window_query("w1_trailing_window_ties", {"w2d": 2 * D}, Q.SHIPMENTS, "shipments", ", ".join(A.SHIPMENT_KEY)))
 def _(spark, sf):
-    rows = A.shipments(spark, sf).select("row_key", "time_s", "Amount")
-    return stats(rows, {"w2d": 2 * D}, key="row_key").drop("time_s", "Amount")
+    rows = A.shipments(spark, sf).select(*A.SHIPMENT_KEY, "time_s")
+    return stats(rows, {"w2d": 2 * D}, key=A.SHIPMENT_KEY).drop("time_s")
 
 
-@query(*_window_query("w1_trailing_window_split_ties", {"w1d": D}, Q.SHIPMENTS, "shipments", "row_key"))
+@query(*_window_query("w1_trailing_window_split_ties", {"w1d": D}, Q.SHIPMENTS, "shipments", ", ".join(A.SHIPMENT_KEY)))
 def _(spark, sf):
     """The same operator on the plan for seconds too full for one task."""
-    rows = A.shipments(spark, sf).select("row_key", "time_s", "Amount")
-    return stats(rows, {"w1d": D}, key="row_key", split_ties=True).drop("time_s", "Amount")
+    rows = A.shipments(spark, sf).select(*A.SHIPMENT_KEY, "time_s")
+    return stats(rows, {"w1d": D}, key=A.SHIPMENT_KEY, split_ties=True).drop("time_s")
 
 
 @query(*_window_query("w2_global_velocity", {"w1h": H, "w24h": D}))
@@ -383,13 +381,13 @@ _BASE_CTES = f"""{_SEG}, {Q.trailing('bucketed', H, 'w1h')}, {Q.trailing('bucket
  coalesce(time_s - lag(time_s) OVER (ORDER BY time_s, txn_id), 0) AS time_since_last_txn,
  coalesce(time_s - lag(time_s) OVER (PARTITION BY amount_bucket ORDER BY time_s, txn_id), 0) AS time_since_last_txn_same_bucket FROM bucketed),
  vec AS (SELECT vec_id, {", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS {c}" for i, c in enumerate(V_COLS))} FROM embeddings)"""
-_BASE_COLUMNS = f"""b.txn_id, b.Class, b.Amount, {_CAL}, CAST(count_w1h AS BIGINT) AS txn_count_1h, round(round(avg_w1h, 9), 6) AS avg_amount_1h, round(std_w1h, 3) AS std_amount_1h,
- CAST(count_w24h AS BIGINT) AS txn_count_24h, round(round(avg_w24h, 9), 6) AS avg_amount_24h, round(std_w24h, 3) AS std_amount_24h,
+_BASE_COLUMNS = f"""b.txn_id, b.Class, b.Amount, {_CAL}, CAST(count_w1h AS BIGINT) AS txn_count_1h, round(round(avg_w1h, 9), 6) AS avg_amount_1h, round(round(std_w1h, 9), 6) AS std_amount_1h,
+ CAST(count_w24h AS BIGINT) AS txn_count_24h, round(round(avg_w24h, 9), 6) AS avg_amount_24h, round(round(std_w24h, 9), 6) AS std_amount_24h,
  CAST(amount_bucket AS INTEGER) AS amount_bucket, CAST(count_seg AS BIGINT) AS txn_count_1h_by_bucket, round(round(avg_seg, 9), 6) AS avg_amount_1h_by_bucket,
  round(round(b.Amount / (avg_seg + 1e-6::DOUBLE), 9), 6) AS amount_to_bucket_avg_ratio, time_since_last_txn, time_since_last_txn_same_bucket,
  round(round(ln(1 + b.Amount), 9), 6) AS amount_log, {Q.V_LIST}"""
 _BASE_FROM = """bucketed b JOIN seg USING (txn_id) JOIN w1h USING (txn_id) JOIN w24h USING (txn_id)
- JOIN rec USING (txn_id) JOIN vec ON vec_id = b.txn_id % 500"""
+ JOIN rec USING (txn_id) JOIN vec ON vec_id = b.txn_id % (SELECT count(*) FROM embeddings)"""
 _BASELINE = f"WITH {_BASE_CTES} SELECT {_BASE_COLUMNS} FROM {_BASE_FROM}"
 
 _BASELINE_FLOATS = [
@@ -401,8 +399,7 @@ _BASELINE_FLOATS = [
 @query("p14_baseline_feature_set", _BASELINE)
 def _(spark, sf):
     out = P.baseline(A.txn(spark, sf).drop("card_id", "ts", "t_us")).drop("time_s")
-    deviations = ["std_amount_1h", "std_amount_24h"]
-    return snapped(rounded(out, deviations, STD_DIGITS), [c for c in _BASELINE_FLOATS if c not in deviations])
+    return snapped(out, _BASELINE_FLOATS)
 
 
 _DEVIATIONS = ["amount_ratio_1h", "amount_ratio_24h", "amount_zscore_1h", "amount_cv_1h"]
@@ -413,18 +410,21 @@ _ADVANCED = f"""WITH {_BASE_CTES}, {Q.trailing('bucketed', 600, 'w10m')}, pr AS
  round(std_w1h / (avg_w1h + 1e-6::DOUBLE), 5) AS amount_cv_1h, 0.0::DOUBLE AS amount_range_1h, 0.5::DOUBLE AS amount_percentile_in_range,
  0.0::DOUBLE AS amount_skew_1h, CAST(count_w10m AS BIGINT) AS txn_count_10min, round(round(avg_w10m, 9), 6) AS avg_amount_10min,
  round(count_w1h * 24 / (count_w24h + 1), 6) AS velocity_spike_ratio, time_since_last_txn AS seconds_since_last_txn, amount_percentile,
- CAST(amount_bucket AS INTEGER) AS amount_decile, CASE WHEN b.Amount = 0 THEN 1 ELSE 0 END AS is_zero_amount
+ CAST(amount_bucket AS INTEGER) AS amount_decile, CASE WHEN b.Amount = 0 THEN 1 ELSE 0 END AS is_zero_amount, true AS anomaly_decision, true AS anomaly_share
  FROM {_BASE_FROM} JOIN w10m USING (txn_id) JOIN pr USING (txn_id)"""
 
 
 @query("p14_advanced_feature_set", _ADVANCED)
 def _(spark, sf):
-    """Everything but the two anomaly columns, which the isolation forest query shows."""
-    out = P.advanced(A.txn(spark, sf).drop("card_id", "ts", "t_us")).drop("time_s", "anomaly_score", "anomaly_decision")
+    """The anomaly columns have no SQL twin value by value: each row shows whether the score lies in
+    (0, 1], and whether the flagged share of all rows is the contamination."""
+    out = P.advanced(A.txn(spark, sf).drop("card_id", "ts", "t_us")).drop("time_s")
+    share = out.agg(F.avg("anomaly_score").alias("_share"))  # one row
+    out = out.crossJoin(F.broadcast(share)).withColumns(
+        {"anomaly_decision": (F.col("anomaly_decision") > 0) & (F.col("anomaly_decision") <= 1), "anomaly_share": F.abs(F.col("_share") - 0.01) < 0.002}
+    ).drop("_share", "anomaly_score")
     products = [f"{a}_{b}" for a, b in X.INTERACTIONS]
     ratios = [f"{a}_to_{b}" for a, b in X.COMPONENT_RATIOS]
-    deviations = ["std_amount_1h", "std_amount_24h"]
-    out = rounded(out, deviations, STD_DIGITS)
-    out = snapped(out, [*[c for c in _BASELINE_FLOATS if c not in deviations], "avg_amount_10min"])
+    out = snapped(out, [*_BASELINE_FLOATS, "avg_amount_10min"])
     out = rounded(rounded(out, [*products, "fraud_feature_magnitude"], 8), ratios, 4)
     return rounded(rounded(rounded(out, _DEVIATIONS, 5), ["velocity_spike_ratio"]), ["amount_percentile"], 9)

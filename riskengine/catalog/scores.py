@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from riskengine.catalog import sql as Q
 from riskengine.catalog.registry import query
+from riskengine.functions import features as X
 from riskengine.operators import metrics as M
 from riskengine.schema import THRESHOLDS
 from riskengine.sources import adapter as A
@@ -135,17 +136,25 @@ def _(spark, sf):
     return M.key_threshold_table(M.threshold_sweep(A.scored(spark, sf)))
 
 
-_PROFILE = ["Amount", "V14", "V17", "V8", "hour"]
-_J3 = f"""WITH {Q.SCORED}, feats AS (SELECT event_id AS txn_id, value AS Amount, CAST(e.embedding[14] AS DOUBLE) AS V14,
- CAST(e.embedding[17] AS DOUBLE) AS V17, CAST(e.embedding[8] AS DOUBLE) AS V8, CAST(epoch_us(ts) // 3600000000 % 24 AS INTEGER) AS hour
- FROM events JOIN embeddings e ON e.vec_id = event_id % 500),
+_PROFILE = [
+    "Amount_raw", "fraud_direction_score", "fraud_feature_magnitude", "V14", "V17", "V4", "V14_V10", "V16_V17",
+    "time_since_last_txn", "hour", "txn_count_10min", "V8",
+]
+_J3 = f"""WITH {Q.SCORED}, tx AS (SELECT l.*, {Q._V_DEFS} FROM log l JOIN embeddings e ON e.vec_id = l.txn_id % (SELECT count(*) FROM embeddings)),
+ {Q.trailing('log', 600, 'w10m')}, rec AS (SELECT txn_id, coalesce(time_s - lag(time_s) OVER (ORDER BY time_s, txn_id), 0) AS time_since_last_txn FROM log),
+ feats AS (SELECT txn_id, Amount AS Amount_raw, {" + ".join(f"CASE WHEN {c} < 0 THEN 1 ELSE 0 END" for c in X.SIGNAL_COLUMNS)} AS fraud_direction_score,
+  {" + ".join(f"abs({c})" for c in X.SIGNAL_COLUMNS)} AS fraud_feature_magnitude, V14, V17, V4, V14 * V10 AS V14_V10, V16 * V17 AS V16_V17,
+  time_since_last_txn, CAST(time_s // 3600 % 24 AS INTEGER) AS hour, count_w10m AS txn_count_10min, V8 FROM tx JOIN w10m USING (txn_id) JOIN rec USING (txn_id)),
  x AS (SELECT s.p AS probability, s.p >= 0.5 AS caught, f.* FROM scored s JOIN feats f USING (txn_id) WHERE model_name = 'model_a' AND label = 1)"""
 
 
 def features_for_profile(spark, sf):
-    from riskengine.functions.features import calendar
+    from riskengine.plans.features import velocity
 
-    return A.txn(spark, sf).transform(calendar)
+    rows = A.log(spark, sf).select("txn_id", "time_s", "Amount")
+    made = velocity(rows, {"10min": 600}, "time_since_last_txn").select("txn_id", "txn_count_10min", "time_since_last_txn")
+    wide = A.txn(spark, sf).transform(X.calendar).transform(X.interactions).transform(X.signal_score)
+    return wide.withColumnRenamed("Amount", "Amount_raw").join(made, "txn_id")
 
 
 @query(

@@ -12,7 +12,7 @@ LOG = f"""log AS (SELECT event_id AS txn_id, user_id AS card_id, ts, {_T_US} AS
   CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS Class FROM events)"""
 
 TXN = f"""{LOG}, txn AS (SELECT l.*, {_V_DEFS}
-  FROM log l JOIN embeddings e ON e.vec_id = l.txn_id % 500)"""
+  FROM log l JOIN embeddings e ON e.vec_id = l.txn_id % (SELECT count(*) FROM embeddings))"""
 
 RAW = f"""{TXN}, raw AS (SELECT CAST(time_s AS DOUBLE) AS Time, {V_LIST}, Amount,
   CAST(Class AS BIGINT) AS Class FROM txn)"""
@@ -44,19 +44,17 @@ DIRTY = f"""{TXN}, dirty AS (SELECT * REPLACE (CASE WHEN txn_id % 47 = 0 THEN 99
 
 DUPLICATED = f"""{TXN}, duplicated AS (SELECT * FROM txn UNION ALL SELECT * FROM txn WHERE txn_id % 100 = 0)"""
 
-SHIPMENTS = """shipments AS (SELECT l_orderkey * 100000000000 + l_linenumber * 10000000000 + l_partkey * 1000
-  + l_suppkey % 1000 AS row_key, date_diff('day', DATE '1970-01-01', CAST(l_shipdate AS DATE)) * 86400 AS time_s,
-  l_extendedprice AS Amount, l_returnflag, l_suppkey FROM lineitem)"""
+SHIPMENTS = """shipments AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+  date_diff('day', DATE '1970-01-01', CAST(l_shipdate AS DATE)) * 86400 AS time_s,
+  l_extendedprice AS Amount, l_returnflag FROM lineitem)"""
 
 
 def trailing(table: str, width: int, tag: str, key: str = "txn_id", by: str = "") -> str:
-    """Count, mean and population deviation of the trailing window with the tie rule:
-    all rows of the value range minus the later rows of the same time."""
-    part = f"PARTITION BY {by}" if by else ""
-    tie = f"PARTITION BY {by + ',' if by else ''} time_s ORDER BY {key} ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING"
-    rng = f"{part} ORDER BY time_s RANGE BETWEEN {width} PRECEDING AND CURRENT ROW"
-    return f"""{tag} AS (SELECT *, n AS count_{tag}, s / n AS avg_{tag},
-   CASE WHEN n > 1 THEN sqrt(greatest(0.0, q / n - (s / n) * (s / n))) ELSE 0.0 END AS std_{tag} FROM (
-   SELECT {key}, count(*) OVER ({rng}) - count(*) OVER ({tie}) AS n,
-     sum(Amount) OVER ({rng}) - coalesce(sum(Amount) OVER ({tie}), 0) AS s,
-     sum(Amount * Amount) OVER ({rng}) - coalesce(sum(Amount * Amount) OVER ({tie}), 0) AS q FROM {table}))"""
+    """Count, mean and population deviation of the trailing window with the tie rule, each over
+    the rows themselves: those of the value range that are not after the row in (time, key) order."""
+    keys = [k.strip() for k in key.split(",")]
+    same = f"a.{by} = b.{by} AND " if by else ""
+    not_after = f"(b.time_s < a.time_s OR ({', '.join(f'b.{k}' for k in keys)}) <= ({', '.join(f'a.{k}' for k in keys)}))"
+    own = ", ".join(f"a.{k}" for k in keys)
+    return f"""{tag} AS (SELECT {own}, count(*) AS count_{tag}, avg(b.Amount) AS avg_{tag}, stddev_pop(b.Amount) AS std_{tag}
+   FROM {table} a JOIN {table} b ON {same}b.time_s BETWEEN a.time_s - {width} AND a.time_s AND {not_after} GROUP BY {own})"""

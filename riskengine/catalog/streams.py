@@ -60,8 +60,7 @@ def _(spark, sf):
 def _(spark, sf):
     train, _test = training_rows(spark, sf)
     model = L.fit("decision_tree", train, INPUTS)
-    vectors = F.broadcast(A.component_vectors(spark, sf))  # at most 500 rows
-    rows = event_stream(spark, sf).join(vectors, F.col("txn_id") % A.VECTORS == F.col("vec_id"))
+    rows = A.with_components(event_stream(spark, sf), spark, sf)
     scored = E.score_requests(rows, model).select("txn_id", "Amount", "fraud_probability", "is_fraud")
     return replay(scored, spark)
 
@@ -88,14 +87,22 @@ def _(spark, sf):
 _CARD = f"""WITH {Q.LOG}, {Q.trailing('log', 3600, 'w1h', by='card_id')}, {Q.trailing('log', 86400, 'w24h', by='card_id')}"""
 
 
-def replay_exact(spark, sf, cuts=(8, 15, 23)):
-    """The log as four files in time order, one per micro-batch."""
+FILES = 4
+
+
+def replay_exact(spark, sf, cuts=(8, 15, 23), shift=0):
+    """The log in four parts in time order, one per micro-batch. ``shift``: days added to the times after
+    the second cut."""
     source, out, cells, ckpt = T.scratch_paths(spark, "source", "out", "cells", "ckpt")
     rows = A.log(spark, sf).select("txn_id", "card_id", "time_s", "Amount")
+    later = F.col("time_s") >= cuts[1] * 86400
+    rows = rows.withColumn("time_s", F.col("time_s") + F.when(later, shift * 86400).otherwise(0))
+    cuts = [c + (shift if c > cuts[1] else 0) for c in cuts]
     edges = [0, *[c * 86400 for c in cuts], 1 << 40]
     for low, high in zip(edges, edges[1:]):
-        rows.where((F.col("time_s") >= low) & (F.col("time_s") < high)).coalesce(1).write.mode("append").parquet(source)
-    stream = E.file_events(spark, source, rows.schema, files_per_batch=1)
+        # a few files of equal size per quarter; files are taken by age
+        rows.where((F.col("time_s") >= low) & (F.col("time_s") < high)).repartition(FILES).write.mode("append").parquet(source)
+    stream = E.file_events(spark, source, rows.schema, files_per_batch=FILES)
     E.run_available(stream, ckpt, writer=T.exact_velocity(out, cells, {"w1h": 3600, "w24h": 86400}))
     return spark.read.parquet(out)
 
@@ -103,7 +110,7 @@ def replay_exact(spark, sf, cuts=(8, 15, 23)):
 @query(
     "r5_exact_velocity",
     f"""{_CARD} SELECT txn_id, CAST(count_w1h AS BIGINT) AS count_w1h, round(round(avg_w1h, 9), 6) AS avg_w1h, CAST(count_w24h AS BIGINT) AS count_w24h,
- round(round(avg_w24h, 9), 6) AS avg_w24h, round(std_w24h, 3) AS std_w24h FROM w1h JOIN w24h USING (txn_id)""",
+ round(round(avg_w24h, 9), 6) AS avg_w24h, round(round(std_w24h, 9), 6) AS std_w24h FROM w1h JOIN w24h USING (txn_id)""",
 )
 def _(spark, sf):
     out = replay_exact(spark, sf)
@@ -113,7 +120,7 @@ def _(spark, sf):
         F.round(F.round("avg_w1h", 9), 6).alias("avg_w1h"),
         "count_w24h",
         F.round(F.round("avg_w24h", 9), 6).alias("avg_w24h"),
-        F.round("std_w24h", 3).alias("std_w24h"),
+        F.round(F.round("std_w24h", 9), 6).alias("std_w24h"),
     )
 
 
@@ -125,6 +132,16 @@ def _(spark, sf):
     return replay_exact(spark, sf).select("txn_id", "time_since_last_txn")
 
 
+@query(
+    "r6_recency_after_a_gap",
+    f"""WITH {Q.LOG}, s AS (SELECT card_id, txn_id, time_s + CASE WHEN time_s >= 15 * 86400 THEN 50 * 86400 ELSE 0 END AS time_s FROM log)
+ SELECT txn_id, coalesce(time_s - lag(time_s) OVER (PARTITION BY card_id ORDER BY time_s, txn_id), 0) AS time_since_last_txn FROM s""",
+)
+def _(spark, sf):
+    """Cards that were last seen fifty days ago."""
+    return replay_exact(spark, sf, shift=50).select("txn_id", "time_since_last_txn")
+
+
 @query(
     "r7_audit_sinks",
     f"""WITH {Q.LOG} SELECT CAST(txn_id AS VARCHAR) AS transaction_id, CAST(time_s AS DOUBLE) AS time_seconds, Amount AS amount, 'decision_tree' AS model_name FROM log""",
@@ -133,8 +150,7 @@ def _(spark, sf):
     train, _test = training_rows(spark, sf)
     model = L.fit("decision_tree", train, INPUTS)
     tx, pred, log, ckpt = T.scratch_paths(spark, "transactions", "predictions", "log", "ckpt")
-    vectors = F.broadcast(A.component_vectors(spark, sf))  # at most 500 rows
-    rows = event_stream(spark, sf).join(vectors, F.col("txn_id") % A.VECTORS == F.col("vec_id"))
+    rows = A.with_components(event_stream(spark, sf), spark, sf)
     E.run_available(E.score_requests(rows, model), ckpt, writer=E.audit(tx, pred, log, "decision_tree"))
     p = spark.read.parquet(pred).select("transaction_id", "model_name")
     return spark.read.parquet(tx).select("transaction_id", "time_seconds", "amount").join(p, "transaction_id")
@@ -166,15 +182,15 @@ def scored_stream(spark, sf):
 )
 def _(spark, sf):
     out = replay(T.daily_performance(scored_stream(spark, sf)), spark)
-    return out.drop("recall", "precision", "false_positive_rate", "avg_latency_ms").withColumns(
-        {c: F.round(c, 6) for c in ("avg_fraud_score", "avg_transaction_amount")}
-    )
+    shares = [c for c in out.columns if c in ("recall", "precision", "false_positive_rate", "avg_latency_ms", "avg_fraud_score", "avg_transaction_amount")]
+    return out.withColumns({c: F.round(F.round(c, 9), 6) for c in shares})
 
 
 @query(
     "r9_late_labels",
-    f"""WITH {Q.AUDIT} SELECT p.transaction_id, p.model_name, g.true_label, g.feedback_source FROM predictions p JOIN ground_truth g USING (transaction_id)
- WHERE p.model_name = 'model_a'""",
+    f"""WITH {Q.AUDIT}, m AS (SELECT p.transaction_id, p.model_name, p.created_at, g.true_label, g.feedback_source FROM predictions p LEFT JOIN ground_truth g USING (transaction_id)
+ WHERE p.model_name = 'model_a') SELECT transaction_id, model_name, true_label, feedback_source FROM m
+ WHERE true_label IS NOT NULL OR created_at < (SELECT max(ts) FROM log) - INTERVAL 5 DAYS""",
 )
 def _(spark, sf):
     rows = scored_stream(spark, sf).where(F.col("txn_id") % 11 != 0)
@@ -188,4 +204,7 @@ def _(spark, sf):
         (F.col("ts") + F.expr("INTERVAL 1 DAY")).alias("reported_at"),
     )
     out = replay(T.late_labels(guesses, feedback), spark)
-    return out.where(F.col("true_label").isNotNull()).select("transaction_id", "model_name", "true_label", "feedback_source")
+    # unlabelled predictions come out once their time is over; the last days are still open when input ends
+    last = A.log(spark, sf).agg(F.max("ts").alias("last"))  # one row
+    settled = F.col("true_label").isNotNull() | (F.col("created_at").cast("timestamp_ntz") < F.col("last") - F.expr("INTERVAL 5 DAYS"))
+    return out.crossJoin(F.broadcast(last)).where(settled).select("transaction_id", "model_name", "true_label", "feedback_source")

@@ -371,7 +371,7 @@ def operating_points(scored: DataFrame, by: Sequence[str] = ("model_name",), rec
     fp = F.col("before_n") + F.col("n") - tp
     # one row per model
     return (
-        c.join(totals, list(by))
+        c.join(F.broadcast(totals), list(by))
         .groupBy(*by)
         .agg(
             F.max(F.when(tp >= recall * F.col("_p"), F.col("p"))).alias("threshold_at_recall"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import time
 from collections.abc import Sequence
 
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 
 from riskengine.functions.columns import count_if, row_order
 from riskengine.operators import metrics as M
-from riskengine.operators.ranking import after, cut_slots, rows_at_ranks
+from riskengine.operators.ranking import after, rows_at_ranks
 
 SEED = 42
 FOLDS = 3
@@ -57,64 +58,59 @@ def smote_neighbours(minority: int, folds: int = FOLDS) -> int:
     return max(1, min(5, minority // folds - 1))
 
 
-def _nearest(points: np.ndarray, keys: np.ndarray, table: np.ndarray, ids: np.ndarray, k: int) -> list[list[list[float]]]:
-    """The k nearest other rows of ``table`` for every point; equal distances by id."""
+def _nearest(table: np.ndarray, ids: np.ndarray, k: int) -> list[list[dict]]:
+    """The k nearest other rows of every row: distance squared, id and vector; equal distances by id."""
     sq = (table**2).sum(axis=1)
     out = []
-    for start in range(0, len(points), 512):
-        block = points[start : start + 512]
-        dist = (block**2).sum(axis=1)[:, None] - 2.0 * block @ table.T + sq[None, :]
-        dist[keys[start : start + 512][:, None] == ids[None, :]] = np.inf
-        for row in dist:
+    for start in range(0, len(table), 512):
+        block = table[start : start + 512]
+        dist = sq[start : start + 512][:, None] - 2.0 * block @ table.T + sq[None, :]
+        dist[np.arange(len(block)), start + np.arange(len(block))] = np.inf
+        for i, row in enumerate(dist):
             near = np.argpartition(row, min(k, len(row) - 1))[:k] if len(row) > k else np.arange(len(row))
-            near = [i for i in near[np.lexsort((ids[near], row[near]))] if np.isfinite(row[i])]
-            out.append([table[i].tolist() for i in near])
+            near = [j for j in near if np.isfinite(row[j])]
+            exact = [float(((block[i] - table[j]) ** 2).sum()) for j in near]
+            out.append([{"d": exact[o], "id": int(ids[near[o]]), "v": table[near[o]].tolist()} for o in np.lexsort((ids[near], exact))])
     return out
 
 
 def minority_neighbours(
-    minority: DataFrame, key: str, n: int, k: int, exact_rows: int = 50_000, leaf_rows: int = 2_000, seed: int = SEED
+    minority: DataFrame, key: str, n: int, k: int, leaf_rows: int = 2_000, trees: int = 6, seed: int = SEED
 ) -> DataFrame:
-    """Add ``nb``, the vectors of near minority rows, to (key, x).
-
-    Up to ``exact_rows`` minority rows (a checked, bounded table) every task holds them
-    all and the neighbours are exact. A larger minority is cut along a random direction
-    into leaves of about ``leaf_rows`` and neighbours are searched inside the leaf, the
-    usual locality approximation; no leaf can outgrow its bound, because a crowded
-    stretch (many equal vectors) is dealt out to several leaves by key hash."""
-    shape = f"{key} long, x array<double>, nb array<array<double>>"
-    if n <= exact_rows:
-        local = minority.select(key, "x").toPandas().sort_values(key)
-        packed = minority.sparkSession.sparkContext.broadcast(
-            (np.array(local["x"].tolist(), dtype=float), local[key].to_numpy())
-        )
-
-        def search(batches):
-            table, ids = packed.value
-            for pdf in batches:
-                if len(pdf):
-                    points = np.array(pdf["x"].tolist(), dtype=float)
-                    yield pdf.assign(nb=_nearest(points, pdf[key].to_numpy(), table, ids, k))
-
-        return minority.select(key, "x").mapInPandas(search, shape)
+    """Add ``nb``, the vectors of the nearest minority rows found, to (key, x).
 
+    Each of ``trees`` random trees halves the rows at the median along a random direction, level by level,
+    until a leaf holds about ``leaf_rows``; rows equal at a median are dealt to both sides by a hash of
+    the key. Neighbours are searched inside each leaf and the nearest over all trees are kept. Rows that fit one leaf
+    get their exact neighbours. One row per leaf comes to the planner's side; no row of the data does."""
     width = len(minority.select("x").first()["x"])
-    direction = np.random.default_rng(seed).normal(size=width)
-    along = F.aggregate(
-        F.zip_with("x", F.array(*[F.lit(float(d)) for d in direction]), lambda a, b: a * b), F.lit(0.0), lambda a, v: a + v
-    )
-    slotted = cut_slots(minority.select(key, "x", along.alias("_at")), "_at", "_slot", one_task_rows=0)
-    fill = slotted.groupBy("_slot").agg(F.ceil(F.count(F.lit(1)) / leaf_rows).cast("long").alias("_pieces"))
-    # one row per slot, and there are as many slots as shuffle partitions
-    dealt = slotted.join(F.broadcast(fill), "_slot").withColumn(
-        "_piece", F.pmod(row_order(slotted, [key], seed), F.col("_pieces"))
-    )
-
-    def in_leaf(pdf: pd.DataFrame) -> pd.DataFrame:
+    levels = max(0, math.ceil(math.log2(max(1, n) / leaf_rows)))
+    found = None
+    for tree in range(trees if levels else 1):
+        rows = minority.select(key, "x", F.lit(0).cast("long").alias("_node"))
+        for level in range(levels):
+            direction = np.random.default_rng([seed, tree, level]).normal(size=width)
+            along = F.aggregate(F.zip_with("x", F.array(*[F.lit(float(d)) for d in direction]), lambda a, b: a * b), F.lit(0.0), lambda a, v: a + v)
+            rows = rows.withColumn("_at", along)
+            middle = rows.groupBy("_node").agg(F.percentile_approx("_at", 0.5, 10_000).alias("_middle"))
+            coin = F.pmod(F.xxhash64(F.lit(seed + tree), F.lit(level), key), F.lit(2))
+            side = F.when(F.col("_at") > F.col("_middle"), 1).when(F.col("_at") < F.col("_middle"), 0).otherwise(coin)
+            rows = rows.join(middle, "_node").select(key, "x", (F.col("_node") * 2 + side).alias("_node"))
+        leaves = rows.groupBy("_node").applyInPandas(_leaf_neighbours(key, k), f"{key} long, x array<double>, near array<struct<d: double, id: long, v: array<double>>>")
+        found = leaves if found is None else found.unionByName(leaves)
+    if levels:
+        # at most trees * k candidates a row
+        found = found.groupBy(key).agg(F.first("x").alias("x"), F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
+    nearest = F.slice(F.array_sort("near"), 1, k)
+    return found.select(key, "x", F.transform(nearest, lambda c: c["v"]).alias("nb"))
+
+
+def _leaf_neighbours(key: str, k: int):
+    def search(pdf: pd.DataFrame) -> pd.DataFrame:
         table, ids = np.array(pdf["x"].tolist(), dtype=float), pdf[key].to_numpy()
-        return pd.DataFrame({key: ids, "x": pdf["x"], "nb": _nearest(table, ids, table, ids, k)})
+        return pd.DataFrame({key: ids, "x": pdf["x"], "near": _nearest(table, ids, k)})
 
-    return dealt.groupBy("_slot", "_piece").applyInPandas(in_leaf, shape)
+    return search
 
 
 def smote(
@@ -125,7 +121,7 @@ def smote(
     ratio: float = SMOTE_RATIO,
     k: int | None = None,
     seed: int = SEED,
-    exact_rows: int = 50_000,
+    leaf_rows: int = 2_000,
 ) -> DataFrame:
     """Add synthetic minority rows until minority = ratio x majority. Each lies between a
     minority row and one of its near neighbours; every random choice is a hash of the row
@@ -136,7 +132,7 @@ def smote(
     if new <= 0 or pos < 2:
         return rows
     minority = rows.where(F.col(label) == 1).select(key, F.array(*cols).alias("x"))
-    near = minority_neighbours(minority, key, pos, k or smote_neighbours(pos), exact_rows, seed=seed)
+    near = minority_neighbours(minority, key, pos, k or smote_neighbours(pos), leaf_rows, seed=seed)
     hashed = near.withColumn("_h", row_order(near, [key], seed))
     copies = F.lit(new // pos)
     if new % pos:

@@ -143,11 +143,13 @@ def hash_sample(
     A sampling operator: ``n`` is its purpose and a constant.
 
     Hash values are uniform, so all but about 1.5 n + 1000 rows are filtered out in the
-    scan before anything is ordered (that the n first are not among them is more than
-    twenty standard deviations away)."""
+    scan before anything is ordered. Repeated keys can upset that: the filter is only used if
+    it leaves enough rows."""
     hashed = df.withColumn("_h", row_order(df, keys, seed))
     rows = df.count() if rows is None else rows
     keep = 1.5 * n + 1000
     if rows > 2 * keep:
-        hashed = hashed.where(F.col("_h") <= F.lit(int(-(2**63) + keep / rows * 2**64)))
+        near = hashed.where(F.col("_h") <= F.lit(int(-(2**63) + keep / rows * 2**64)))
+        if near.limit(n).count() == n:
+            hashed = near
     return hashed.orderBy("_h", *keys).limit(n).drop("_h")

@@ -150,12 +150,14 @@ def histogram(
     """Equal-width bins between minimum and maximum of each class, last bin closed."""
     rows = df.select(F.col(label), value.cast("double").alias("v")).where(F.col("v").isNotNull())
     if where is not None:
-        rows = df.where(where).select(F.col(label), value.cast("double").alias("v"))
-    width = F.lit(bins) if isinstance(bins, int) else None
-    if width is None:
+        rows = df.where(where).select(F.col(label), value.cast("double").alias("v")).where(F.col("v").isNotNull())
+    if isinstance(bins, int):
+        width = F.lit(bins)
+    else:
+        # a class without an entry, a null one among them, gets as many bins as the finest
+        width = F.lit(max(bins.values()))
         for group, k in bins.items():
-            hit = F.col(label) == group
-            width = F.when(hit, k) if width is None else width.when(hit, k)
+            width = F.when(F.col(label) == group, k).otherwise(width)
     limits = rows.groupBy(F.col(label).alias("_c")).agg(
         F.min("v").alias("_lo"), F.max("v").alias("_hi"), F.count(F.lit(1)).alias("_n")
     )
@@ -163,7 +165,7 @@ def histogram(
     step = spread / F.col("_k")
     place = F.when(spread > 0, F.least(F.col("_k") - 1, F.floor((F.col("v") - F.col("_lo")) / step))).otherwise(0)
     return (
-        rows.join(F.broadcast(limits), F.col(label) == F.col("_c"))  # one row per class
+        rows.join(F.broadcast(limits), F.col(label).eqNullSafe(F.col("_c")))  # one row per class
         .withColumn("_k", width)
         .withColumn("bin", place.cast("long"))
         .groupBy(label, "bin")
@@ -195,7 +197,7 @@ def box_plot(df: DataFrame, value: str = "Amount", label: str = "Class") -> Data
     inside = v.between(F.col("q1") - reach, F.col("q3") + reach)
     return (
         df.select(label, value)
-        .join(F.broadcast(table), F.col(label) == F.col("_c"))  # one row per class
+        .join(F.broadcast(table), F.col(label).eqNullSafe(F.col("_c")))  # one row per class
         .groupBy(label, *names)
         .agg(
             F.min(F.when(inside, v)).alias("whisker_low"),

@@ -13,6 +13,7 @@ of the rows is split into key slots whose totals are carried as offsets.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -26,9 +27,22 @@ _FIRST = Window.unboundedPreceding
 _SUMS = ("n", "s", "q")
 
 
-def time_cells(df: DataFrame, time: str, value: str, by: Sequence[str] = ()) -> DataFrame:
-    """Count, sum and sum of squares per (segment, second)."""
-    v = F.col(value).cast("double")
+def centre_of(df: DataFrame, value: str) -> float:
+    """A literal near the bulk of the values (their approximate median). Sums and squares of the distances
+    from it keep the digits that those of the values themselves lose when amounts are large."""
+    middle = df.agg(F.percentile_approx(F.col(value).cast("double"), 0.5, 1000)).first()[0]
+    return float(middle) if middle is not None and math.isfinite(middle) else 0.0
+
+
+def recentred(cells: DataFrame, centre: float) -> DataFrame:
+    """Cells whose sums are distances from their own ``c``, as distances from ``centre``."""
+    by = F.col("c") - F.lit(centre)
+    return cells.withColumn("q", F.col("q") + 2 * by * F.col("s") + F.col("n") * by * by).withColumn("s", F.col("s") + F.col("n") * by).drop("c")
+
+
+def time_cells(df: DataFrame, time: str, value: str, by: Sequence[str] = (), centre: float = 0.0) -> DataFrame:
+    """Count, sum and sum of squares of the distances from ``centre`` per (segment, second)."""
+    v = F.col(value).cast("double") - F.lit(centre)
     return df.groupBy(*by, time).agg(
         F.count(F.lit(1)).alias("n"), F.sum(v).alias("s"), F.sum(v * v).alias("q")
     )
@@ -109,9 +123,10 @@ def trailing_stats(
     windows: Mapping[str, int],
     *,
     time: str = "time_s",
-    key: str = "txn_id",
+    key: str | Sequence[str] = "txn_id",
     value: str = "Amount",
     by: Sequence[str] = (),
+    centre: float | None = None,
     recency: str | None = None,
     position: str | None = None,
     history: DataFrame | None = None,
@@ -124,19 +139,23 @@ def trailing_stats(
 
     Times and segments must not be null (the validation gate sees to it).
 
-    ``time`` is whole seconds, ``key`` a unique number that orders equal times.
-    ``history`` may hold earlier cells (as made by :func:`time_cells`) that count but
-    are not returned. ``cells_from``: the same rows from a plan that is cheaper to read
+    ``time`` is whole seconds; ``key``, one column or several, of which the first is a number, orders
+    equal times. Sums run over distances from ``centre`` (by default found by :func:`centre_of`), so
+    that deviations hold for large amounts too. ``history`` may hold earlier cells (as made by
+    :func:`time_cells` with the same centre) that count but are not returned. ``cells_from``: the same rows from a plan that is cheaper to read
     than ``df``, which then runs once. ``split_ties``: "auto" measures the fullest second.
     """
     by = list(by)
     cell = [*by, time]
+    keys = [key] if isinstance(key, str) else list(key)
     source = df if cells_from is None else cells_from
-    splits = _tie_splits(source, cell, key, split_ties, tie_rows)
+    if centre is None:
+        centre = centre_of(source, value) if windows and history is None else 0.0
+    splits = _tie_splits(source, cell, keys[0], split_ties, tie_rows)
     split_ties = bool(splits)
-    rows = with_slots(df, key, splits)
+    rows = with_slots(df, keys[0], splits)
 
-    own = time_cells(with_slots(source, key, splits), time, value, [*by, "_slot"])
+    own = time_cells(with_slots(source, keys[0], splits), time, value, [*by, "_slot"], centre)
     cells = own.groupBy(*cell).agg(*[F.sum(m).alias(m) for m in _SUMS]) if split_ties else own.drop("_slot")
     present = cells.select(*cell)
     home = F.floor(F.col(time) / F.lit(max(windows.values(), default=DAY)))
@@ -180,12 +199,13 @@ def trailing_stats(
         )
 
     v = F.col(value).cast("double")
-    in_second = Window.partitionBy(*cell, "_slot").orderBy(key).rowsBetween(_FIRST, 0)
+    far = v - F.lit(centre)
+    in_second = Window.partitionBy(*cell, "_slot").orderBy(*keys).rowsBetween(_FIRST, 0)
     ranked = rows.select(
         "*",
         F.count(F.lit(1)).over(in_second).alias("_r_n"),
-        F.sum(v).over(in_second).alias("_r_s"),
-        F.sum(v * v).over(in_second).alias("_r_q"),
+        F.sum(far).over(in_second).alias("_r_s"),
+        F.sum(far * far).over(in_second).alias("_r_q"),
     )
     joined = ranked.join(lookup, _same(ranked, lookup, [*cell, "_slot"]), "left").select(
         *[ranked[c] for c in ranked.columns],
@@ -196,10 +216,10 @@ def trailing_stats(
     made = []
     for tag in windows:
         n, s, q = (F.coalesce(F.col(f"{m}_{tag}"), F.lit(0)) + tie[m] for m in _SUMS)
-        mean = F.when(n == 1, v).otherwise(s / n)
+        mean = s / n
         made += [
             n.cast("long").alias(f"count_{tag}"),
-            mean.alias(f"avg_{tag}"),
+            F.when(n == 1, v).otherwise(F.lit(centre) + mean).alias(f"avg_{tag}"),
             # two sums subtract to a tiny negative now and then; one row has no spread
             F.when(n > 1, F.sqrt(F.greatest(F.lit(0.0), q / n - mean * mean)))
             .otherwise(F.lit(0.0))
@@ -231,8 +251,9 @@ def window_range(
     complete the row's own second.
     """
     v = F.col(value).cast("double")
+    far = v - F.lit(centre_of(df, value))
     rows = with_slots(df, key, _tie_splits(df, [time], key, split_ties, tie_rows))
-    power = {"n": F.lit(1), "s": v, "q": v * v, "c": v * v * v}
+    power = {"n": F.lit(1), "s": far, "q": far * far, "c": far * far * far}
     own = rows.groupBy(time, "_slot").agg(
         *[F.sum(e).cast("double").alias(m) for m, e in power.items()], F.min(v).alias("lo"), F.max(v).alias("hi")
     )

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from riskengine.schema import FEEDBACK_SOURCES, V_COLS
 
 EPOCH_US = 1_704_067_200_000_000  # 2024-01-01T00:00:00Z, time zero of the log
-VECTORS = 500  # vec_id is unique, so the vector table below never exceeds 500 rows
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,13 +34,18 @@ def with_event_columns(events: DataFrame) -> DataFrame:
 
 
 def component_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (
-        table(spark, sf_dir, "embeddings")
-        .where(F.col("vec_id").between(0, VECTORS - 1))
-        .select("vec_id", *[F.get("embedding", F.lit(i)).cast("double").alias(c) for i, c in enumerate(V_COLS)])
+    return table(spark, sf_dir, "embeddings").select(
+        "vec_id", *[F.get("embedding", F.lit(i)).cast("double").alias(c) for i, c in enumerate(V_COLS)]
     )
 
 
+def with_components(rows: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The transactions with V1..V28: vectors are dealt out in turn, so all of them are used. The planner
+    broadcasts the vectors where they are few and shuffles both sides otherwise."""
+    vectors = component_vectors(spark, sf_dir)
+    return rows.join(vectors, F.col("txn_id") % vectors.count() == F.col("vec_id")).drop("vec_id")
+
+
 def log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transactions without components, for operators that need none of them."""
     return with_event_columns(table(spark, sf_dir, "events"))
@@ -57,13 +61,7 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def txn(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors = component_vectors(spark, sf_dir)
-    # at most VECTORS rows of 28 doubles: safe to broadcast at any scale
-    return (
-        spread(log(spark, sf_dir))
-        .join(F.broadcast(vectors), F.col("txn_id") % VECTORS == F.col("vec_id"))
-        .drop("vec_id")
-    )
+    return with_components(spread(log(spark, sf_dir)), spark, sf_dir)
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,20 +165,19 @@ def dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return txn(spark, sf_dir).withColumn("Amount", amount)
 
 
+SHIPMENT_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "Amount"]
+
+
 def shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A heavily tied log: line items at day grain. The key is built from the four key
-    columns and two measures, which together are distinct, so it needs no row number."""
+    """A heavily tied log: line items at day grain, ordered within a day by the key columns and the amount."""
     li = table(spark, sf_dir, "lineitem")
     day = F.datediff(F.col("l_shipdate").cast("date"), F.lit("1970-01-01").cast("date")).cast("long")
     return li.select(
-        (
-            F.col("l_orderkey") * F.lit(100_000_000_000)
-            + F.col("l_linenumber").cast("long") * F.lit(10_000_000_000)
-            + F.col("l_partkey") * F.lit(1000)
-            + F.col("l_suppkey") % 1000
-        ).alias("row_key"),
+        "l_orderkey",
+        "l_linenumber",
+        "l_partkey",
+        "l_suppkey",
         (day * 86400).alias("time_s"),
         F.col("l_extendedprice").alias("Amount"),
-        F.col("l_returnflag"),
-        F.col("l_suppkey"),
+        "l_returnflag",
     )

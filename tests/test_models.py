@@ -24,9 +24,9 @@ def planted(spark):
     return runs.materialise(df, "planted")
 
 
-@pytest.mark.parametrize("exact_rows", [50_000, 10])
-def test_smote_points_lie_between_minority_rows(planted, exact_rows):
-    out = L.smote(planted, ["a", "b"], exact_rows=exact_rows)
+@pytest.mark.parametrize("leaf_rows", [2_000, 30])
+def test_smote_points_lie_between_minority_rows(planted, leaf_rows):
+    out = L.smote(planted, ["a", "b"], leaf_rows=leaf_rows)
     real = planted.where("Class = 1").select("a", "b").toPandas().to_numpy()
     made = out.where("txn_id is null").select("a", "b").toPandas().to_numpy()
     assert len(made) == int(0.3 * 1100) - 100
@@ -35,7 +35,7 @@ def test_smote_points_lie_between_minority_rows(planted, exact_rows):
         to = np.linalg.norm(real - p, axis=1)
         gap = to[:, None] + to[None, :] - np.linalg.norm(real[:, None] - real[None], axis=2)
         assert gap.min() < 1e-6
-    again = L.smote(planted, ["a", "b"], exact_rows=exact_rows).where("txn_id is null").select("a", "b").toPandas().to_numpy()
+    again = L.smote(planted, ["a", "b"], leaf_rows=leaf_rows).where("txn_id is null").select("a", "b").toPandas().to_numpy()
     assert np.allclose(sorted(map(tuple, made)), sorted(map(tuple, again)))
 
 
@@ -53,10 +53,22 @@ def test_smote_leaves_hold_many_equal_rows(spark):
     df = spark.range(900).select(
         F.col("id").alias("txn_id"), F.array(F.when(F.col("id") % 3 == 0, 0.0).otherwise(F.rand(1)), F.lit(1.0)).alias("x")
     )
-    out = L.minority_neighbours(df, "txn_id", 900, 3, exact_rows=10, leaf_rows=50)
+    out = L.minority_neighbours(df, "txn_id", 900, 3, leaf_rows=50)
     assert out.count() == 900 and out.where(F.size("nb") == 0).count() == 0
 
 
+@pytest.mark.parametrize("n,leaf_rows", [(400, 400), (800, 200), (1600, 200)])
+def test_smote_recall_of_the_exact_neighbours(spark, n, leaf_rows):
+    df = runs.materialise(spark.range(n).select(F.col("id").alias("txn_id"), F.array(*[F.randn(k) for k in range(6)]).alias("x")), "cloud")
+    rows = L.minority_neighbours(df, "txn_id", n, 5, leaf_rows=leaf_rows).collect()
+    x = np.array([r.x for r in rows])
+    hits = 0
+    for i, r in enumerate(rows):
+        d = np.sort(np.delete(np.linalg.norm(x - x[i], axis=1), i))[:5]
+        hits += (np.linalg.norm(np.array(r.nb) - x[i], axis=1) <= d[-1] + 1e-9).sum()
+    assert hits / (5 * n) >= (1.0 if n <= leaf_rows else 0.8)
+
+
 def test_smote_k():
     assert [L.smote_neighbours(n) for n in (399, 9, 3, 1)] == [5, 2, 1, 1]
 

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from riskengine import schema as S
 from riskengine.operators import prep
+from riskengine.operators import profiling as D
 from riskengine.operators import quality as V
 from riskengine.sources import adapter as A
 
@@ -96,3 +97,17 @@ def test_settings_are_checked():
 
 def test_contract_columns():
     assert len(S.RAW_COLUMNS) == 31 and S.RAW_SCHEMA.names == S.RAW_COLUMNS
+
+
+def test_report_without_amount(spark):
+    df = spark.createDataFrame([(1.0, 0)], "Time double, Class long")
+    lines = {r.check: r.status for r in V.validation_report(df).collect()}
+    assert lines["amount_validation"] == "FAIL" and lines["OVERALL"] == "FAIL"
+
+
+def test_histogram_and_box_keep_a_null_class(spark):
+    df = spark.createDataFrame([(1.0, 0), (2.0, 0), (3.0, None), (5.0, None), (None, None), (4.0, 1)], "Amount double, Class int")
+    bars = D.histogram(df, F.col("Amount"), {0: 2, 1: 3}).collect()
+    assert sum(b.n for b in bars) == 5 and all(b.bin is not None for b in bars)
+    assert sum(b.n for b in bars if b.Class is None) == 2
+    assert {r.Class for r in D.box_plot(df).collect()} == {0, 1, None}

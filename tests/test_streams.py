@@ -36,6 +36,20 @@ def test_a_repeated_batch_changes_nothing(spark, small, tmp_path):
     assert stored.agg(F.sum("count_w")).first()[0] == want
 
 
+def test_empty_batches_gaps_and_compaction(spark, tmp_path):
+    """An empty first batch, cards last seen long ago, and history merged every second batch."""
+    rows = spark.createDataFrame([(i, i % 3, 86400 * 50 * (i // 6) + 60 * i, 1e8 + i % 5) for i in range(60)], "txn_id long, card_id long, time_s long, Amount double")
+    out = str(tmp_path / "out")
+    writer = T.exact_velocity(out, str(tmp_path / "cells"), {"w": 3600}, compact_every=2)
+    writer(rows.where("false"), 0)
+    for k in range(10):
+        writer(rows.where(f"txn_id div 6 = {k}"), k + 1 + (k > 4))
+    writer(rows.where("txn_id div 6 = 9"), 11)  # a repeated batch
+    got = {r.txn_id: (r.count_w, round(r.avg_w, 5), round(r.std_w, 5), r.time_since_last_txn) for r in spark.read.parquet(out).collect()}
+    want = trailing_stats(rows, {"w": 3600}, by=["card_id"], recency="time_since_last_txn").collect()
+    assert got == {r.txn_id: (r.count_w, round(r.avg_w, 5), round(r.std_w, 5), r.time_since_last_txn) for r in want}
+
+
 def test_stream_scores_equal_batch_scores(spark, small, tmp_path):
     rows = A.txn(spark, small).drop("ts")
     model = L.fit("decision_tree", rows, ["V1", "V2", "Amount"])

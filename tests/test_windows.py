@@ -83,6 +83,22 @@ def test_history_counts_but_is_not_returned(spark):
         assert got[key].avg_a == pytest.approx(mean, abs=1e-9)
 
 
+@pytest.mark.parametrize("split", [False, True])
+def test_deviation_of_large_amounts(spark, split):
+    rows = [(i, 100 * i, 1e8 + i % 3, 0) for i in range(60)]
+    df = spark.createDataFrame(rows, COLS)
+    for r in trailing_stats(df, {"a": 600}, split_ties=split).collect():
+        x = np.array([v for _i, t, v, _s in rows if r.time_s - 600 <= t <= r.time_s])
+        assert r.std_a == pytest.approx(x.std(), abs=1e-6) and r.avg_a == pytest.approx(x.mean(), abs=1e-6)
+
+
+def test_several_order_columns(spark):
+    rows = [(i // 3, i % 3, 10, float(i)) for i in range(12)]
+    df = spark.createDataFrame(rows, "k long, j long, time_s long, Amount double")
+    got = {(r.k, r.j): r.count_a for r in trailing_stats(df, {"a": 5}, key=["k", "j"], split_ties=True).collect()}
+    assert got == {(k, j): 3 * k + j + 1 for k, j, _t, _v in rows}
+
+
 @pytest.mark.parametrize("split", [False, True])
 def test_range_and_skew(spark, split):
     rows = tied_rows(4)
