@@ -173,7 +173,9 @@ def delete_repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFra
     number of filled lines and how many of them went."""
     marks = repeated_lines(docs, min_words).groupBy("ord", "th").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("gone")))).alias("gone"))
     marks = materialise(marks.select("ord", "th", "gone"), "lines-gone")
-    full = docs.select(F.struct("*").alias("row"), F.col("text").cast("string").alias("text"), *_order()).join(marks, ["ord", "th"], "left")
+    full = docs.select(F.struct("*").alias("row"), F.col("text").cast("string").alias("text"), *_order())
+    # one plan at every size: few marks would be broadcast, and the text shuffled all of a sudden where they are more
+    full = full.join(marks.hint("merge"), ["ord", "th"], "left")
     lines = F.split("text", "\n", -1)
     # positions that stay, then the lines at them: linear in the length of the text
     stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone"))
