@@ -175,4 +175,5 @@ def keep_one_per_group(docs: DataFrame) -> DataFrame:
     """The documents left when each near-duplicate group keeps its member with the smallest ``doc_id``;
     documents without words stay, and so do rows without a ``doc_id`` unless their component is named."""
     marks = near_duplicates(docs).where("not kept and component_id is not null").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(marks, docs["doc_id"].eqNullSafe(marks["_gone"]), "left_anti")
+    # one plan at every size, see linedup
+    return docs.join(marks.hint("merge"), docs["doc_id"].eqNullSafe(marks["_gone"]), "left_anti")
