@@ -211,7 +211,8 @@ def snapped(df, cols):
 
 
 def stats(df, spec, **kw):
-    return snapped(windows.trailing_stats(df, spec, **kw), [f"{m}_{t}" for t in spec for m in ("avg", "std")])
+    out = snapped(windows.trailing_stats(df, spec, **kw), [f"avg_{t}" for t in spec])
+    return rounded(out, [f"std_{t}" for t in spec], STD_DIGITS)
 
 
 def _stats_sql(table, tags, key="txn_id", by=""):
@@ -219,7 +220,7 @@ def _stats_sql(table, tags, key="txn_id", by=""):
     first = next(iter(tags))
     joins = " ".join(f"JOIN {t} USING ({key})" for t in tags if t != first)
     cols = ", ".join(
-        f"CAST(count_{t} AS BIGINT) AS count_{t}, round(round(avg_{t}, 9), 6) AS avg_{t}, round(round(std_{t}, 9), {STD_DIGITS}) AS std_{t}" for t in tags
+        f"CAST(count_{t} AS BIGINT) AS count_{t}, round(round(avg_{t}, 9), 6) AS avg_{t}, round(std_{t}, {STD_DIGITS}) AS std_{t}" for t in tags
     )
     return ctes, f"SELECT {key}, {cols} FROM {first} {joins}"
 
@@ -381,8 +382,8 @@ _BASE_CTES = f"""{_SEG}, {Q.trailing('bucketed', H, 'w1h')}, {Q.trailing('bucket
  coalesce(time_s - lag(time_s) OVER (ORDER BY time_s, txn_id), 0) AS time_since_last_txn,
  coalesce(time_s - lag(time_s) OVER (PARTITION BY amount_bucket ORDER BY time_s, txn_id), 0) AS time_since_last_txn_same_bucket FROM bucketed),
  vec AS (SELECT vec_id, {", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS {c}" for i, c in enumerate(V_COLS))} FROM embeddings)"""
-_BASE_COLUMNS = f"""b.txn_id, b.Class, b.Amount, {_CAL}, CAST(count_w1h AS BIGINT) AS txn_count_1h, round(round(avg_w1h, 9), 6) AS avg_amount_1h, round(round(std_w1h, 9), 6) AS std_amount_1h,
- CAST(count_w24h AS BIGINT) AS txn_count_24h, round(round(avg_w24h, 9), 6) AS avg_amount_24h, round(round(std_w24h, 9), 6) AS std_amount_24h,
+_BASE_COLUMNS = f"""b.txn_id, b.Class, b.Amount, {_CAL}, CAST(count_w1h AS BIGINT) AS txn_count_1h, round(round(avg_w1h, 9), 6) AS avg_amount_1h, round(std_w1h, 6) AS std_amount_1h,
+ CAST(count_w24h AS BIGINT) AS txn_count_24h, round(round(avg_w24h, 9), 6) AS avg_amount_24h, round(std_w24h, 6) AS std_amount_24h,
  CAST(amount_bucket AS INTEGER) AS amount_bucket, CAST(count_seg AS BIGINT) AS txn_count_1h_by_bucket, round(round(avg_seg, 9), 6) AS avg_amount_1h_by_bucket,
  round(round(b.Amount / (avg_seg + 1e-6::DOUBLE), 9), 6) AS amount_to_bucket_avg_ratio, time_since_last_txn, time_since_last_txn_same_bucket,
  round(round(ln(1 + b.Amount), 9), 6) AS amount_log, {Q.V_LIST}"""
@@ -390,6 +391,7 @@ _BASE_FROM = """bucketed b JOIN seg USING (txn_id) JOIN w1h USING (txn_id) JOIN
  JOIN rec USING (txn_id) JOIN vec ON vec_id = b.txn_id % (SELECT count(*) FROM embeddings)"""
 _BASELINE = f"WITH {_BASE_CTES} SELECT {_BASE_COLUMNS} FROM {_BASE_FROM}"
 
+_DEVIATION_COLUMNS = ["std_amount_1h", "std_amount_24h"]
 _BASELINE_FLOATS = [
     "hour_sin", "hour_cos", "avg_amount_1h", "std_amount_1h", "avg_amount_24h", "std_amount_24h",
     "avg_amount_1h_by_bucket", "amount_to_bucket_avg_ratio", "amount_log",
@@ -399,7 +401,7 @@ _BASELINE_FLOATS = [
 @query("p14_baseline_feature_set", _BASELINE)
 def _(spark, sf):
     out = P.baseline(A.txn(spark, sf).drop("card_id", "ts", "t_us")).drop("time_s")
-    return snapped(out, _BASELINE_FLOATS)
+    return snapped(rounded(out, _DEVIATION_COLUMNS), [c for c in _BASELINE_FLOATS if c not in _DEVIATION_COLUMNS])
 
 
 _DEVIATIONS = ["amount_ratio_1h", "amount_ratio_24h", "amount_zscore_1h", "amount_cv_1h"]
@@ -425,6 +427,7 @@ def _(spark, sf):
     ).drop("_share", "anomaly_score")
     products = [f"{a}_{b}" for a, b in X.INTERACTIONS]
     ratios = [f"{a}_to_{b}" for a, b in X.COMPONENT_RATIOS]
-    out = snapped(out, [*_BASELINE_FLOATS, "avg_amount_10min"])
+    out = rounded(out, _DEVIATION_COLUMNS)
+    out = snapped(out, [*[c for c in _BASELINE_FLOATS if c not in _DEVIATION_COLUMNS], "avg_amount_10min"])
     out = rounded(rounded(out, [*products, "fraud_feature_magnitude"], 8), ratios, 4)
     return rounded(rounded(rounded(out, _DEVIATIONS, 5), ["velocity_spike_ratio"]), ["amount_percentile"], 9)

@@ -27,7 +27,7 @@ def training_rows(spark, sf):
     return train, test
 
 
-SPLIT = f"""{Q.LOG}, edge AS (SELECT min(time_s) + 0.8 * (max(time_s) - min(time_s)) AS at FROM log)"""
+SPLIT = f"""{Q.LOG}, edge AS (SELECT min(time_s) + 0.8 * (max(time_s) - min(time_s)) AS edge_s FROM log)"""
 
 
 def facts(scored, key="txn_id"):
@@ -58,7 +58,7 @@ def _fit_and_score(name):
 for _id, _name in zip(
     ["m1", "m2", "m3", "m4", "m5", "m6", "m7"], [n for tier in L.TIERS.values() for n in tier]
 ):
-    query(f"{_id}_{_name}", facts_sql(_name, "time_s > at"))(_fit_and_score(_name))
+    query(f"{_id}_{_name}", facts_sql(_name, "time_s > edge_s"))(_fit_and_score(_name))
 
 
 # the log has a fifth of errors: for SMOTE, fraud is every fifth of them, so that rows are missing
@@ -72,7 +72,7 @@ def rare_training_rows(spark, sf):
 
 @query(
     "m8_smote",
-    f"""WITH {SPLIT}, r AS (SELECT CASE WHEN txn_id % 5 = 0 THEN Class ELSE 0 END AS y FROM log, edge WHERE time_s <= at)
+    f"""WITH {SPLIT}, r AS (SELECT CASE WHEN txn_id % 5 = 0 THEN Class ELSE 0 END AS y FROM log, edge WHERE time_s <= edge_s)
  SELECT count(*) FILTER (y = 1) AS positives, CAST(floor(0.3::DOUBLE * count(*) FILTER (y = 0)) AS BIGINT) - count(*) FILTER (y = 1) AS made,
  count(*) AS real_rows, true AS inside_the_box, true AS new_points FROM r""",
 )
@@ -98,7 +98,7 @@ def _(spark, sf):
 
 @query(
     "m8_smote_class_counts",
-    f"""WITH {SPLIT}, r AS (SELECT CASE WHEN txn_id % 5 = 0 THEN Class ELSE 0 END AS y FROM log, edge WHERE time_s <= at)
+    f"""WITH {SPLIT}, r AS (SELECT CASE WHEN txn_id % 5 = 0 THEN Class ELSE 0 END AS y FROM log, edge WHERE time_s <= edge_s)
  SELECT 0 AS Class, count(*) FILTER (y = 0) AS n FROM r UNION ALL
  SELECT 1, greatest(count(*) FILTER (y = 1), CAST(floor(0.3::DOUBLE * count(*) FILTER (y = 0)) AS BIGINT)) FROM r""",
 )

@@ -57,4 +57,5 @@ def trailing(table: str, width: int, tag: str, key: str = "txn_id", by: str = ""
     not_after = f"(b.time_s < a.time_s OR ({', '.join(f'b.{k}' for k in keys)}) <= ({', '.join(f'a.{k}' for k in keys)}))"
     own = ", ".join(f"a.{k}" for k in keys)
     return f"""{tag} AS (SELECT {own}, count(*) AS count_{tag}, avg(b.Amount) AS avg_{tag}, stddev_pop(b.Amount) AS std_{tag}
-   FROM {table} a JOIN {table} b ON {same}b.time_s BETWEEN a.time_s - {width} AND a.time_s AND {not_after} GROUP BY {own})"""
+   FROM {table} a JOIN (SELECT *, unnest([time_s // {width}, time_s // {width} + 1]) AS bk FROM {table}) b
+   ON {same}b.bk = a.time_s // {width} AND b.time_s BETWEEN a.time_s - {width} AND a.time_s AND {not_after} GROUP BY {own})"""

@@ -110,7 +110,7 @@ def replay_exact(spark, sf, cuts=(8, 15, 23), shift=0):
 @query(
     "r5_exact_velocity",
     f"""{_CARD} SELECT txn_id, CAST(count_w1h AS BIGINT) AS count_w1h, round(round(avg_w1h, 9), 6) AS avg_w1h, CAST(count_w24h AS BIGINT) AS count_w24h,
- round(round(avg_w24h, 9), 6) AS avg_w24h, round(round(std_w24h, 9), 6) AS std_w24h FROM w1h JOIN w24h USING (txn_id)""",
+ round(round(avg_w24h, 9), 6) AS avg_w24h, round(std_w24h, 6) AS std_w24h FROM w1h JOIN w24h USING (txn_id)""",
 )
 def _(spark, sf):
     out = replay_exact(spark, sf)
@@ -120,7 +120,7 @@ def _(spark, sf):
         F.round(F.round("avg_w1h", 9), 6).alias("avg_w1h"),
         "count_w24h",
         F.round(F.round("avg_w24h", 9), 6).alias("avg_w24h"),
-        F.round(F.round("std_w24h", 9), 6).alias("std_w24h"),
+        F.round("std_w24h", 6).alias("std_w24h"),
     )
 
 
@@ -177,7 +177,10 @@ def scored_stream(spark, sf):
  SELECT CAST(ts AS DATE) AS transaction_date, model_name, count(*) AS total_transactions, count(*) FILTER (flag) AS flagged_as_fraud,
  count(*) FILTER (y = 1) AS actual_fraud_count, count(*) FILTER (flag AND y = 1) AS true_positives, count(*) FILTER (flag AND y = 0) AS false_positives,
  count(*) FILTER (NOT flag AND y = 1) AS false_negatives, count(*) FILTER (NOT flag AND y = 0) AS true_negatives,
- round(avg(p), 6) AS avg_fraud_score, round(avg(Amount), 6) AS avg_transaction_amount FROM s
+ round(round(CASE WHEN count(*) FILTER (y = 1) > 0 THEN count(*) FILTER (flag AND y = 1) / count(*) FILTER (y = 1) ELSE 0.0 END, 9), 6) AS recall,
+ round(round(CASE WHEN count(*) FILTER (flag) > 0 THEN count(*) FILTER (flag AND y = 1) / count(*) FILTER (flag) ELSE 0.0 END, 9), 6) AS precision,
+ round(round(CASE WHEN count(*) FILTER (y = 0) > 0 THEN count(*) FILTER (flag AND y = 0) / count(*) FILTER (y = 0) ELSE 0.0 END, 9), 6) AS false_positive_rate,
+ round(round(avg(p), 9), 6) AS avg_fraud_score, round(round(avg((txn_id % 97) / 10), 9), 6) AS avg_latency_ms, round(round(avg(Amount), 9), 6) AS avg_transaction_amount FROM s
  WHERE CAST(ts AS DATE) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM log) GROUP BY 1, 2""",
 )
 def _(spark, sf):

@@ -367,13 +367,13 @@ _EVAL_SQL = f"""WITH {Q.SCORED}"""
     "s10_evaluation_rows",
     f"""WITH {Q.SCORED}, {CURVE}, a AS (SELECT model_name, sum(pos * ((before_pos + pos) / (before_n + n) + CASE WHEN before_n > 0 THEN before_pos / before_n ELSE 1 END) / 2) / sum(pos) AS pr,
   sum((n - pos) * (before_pos + pos / 2)) / sum(pos) / sum(n - pos) AS roc FROM k GROUP BY model_name),
- d AS (SELECT model_name,
+ cells AS (SELECT model_name,
   count(*) FILTER (p >= 0.5 AND label = 1) AS tp, count(*) FILTER (p >= 0.5 AND label = 0) AS fp,
   count(*) FILTER (p < 0.5 AND label = 1) AS fn, count(*) FILTER (p < 0.5 AND label = 0) AS tn FROM scored GROUP BY 1),
  m AS (SELECT model_name || '_baseline' AS model_name, unnest(['pr_auc', 'roc_auc', 'f1_score', 'recall', 'precision', 'fpr', 'fnr']) AS metric_type,
   unnest([round_even(pr, 4), round_even(roc, 4), round_even(2 * tp / (2 * tp + fp + fn), 4), round_even(tp / (tp + fn), 4), round_even(tp / (tp + fp), 4),
    round_even(fp / (fp + tn), 4), round_even(fn / (fn + tp), 4)]) AS metric_value,
-  tp + fn AS fraud, tp + fp + fn + tn AS n FROM d JOIN a USING (model_name))
+  tp + fn AS fraud, tp + fp + fn + tn AS n FROM cells JOIN a USING (model_name))
  SELECT model_name, metric_type, metric_value, CAST(NULL AS DOUBLE) AS baseline_value, 0.0::DOUBLE AS deviation_percent,
   false AS is_warning, false AS is_critical,
   '{{"evaluation_type":"test_set","test_samples":' || n || ',"fraud_count":' || fraud || '}}' AS details FROM m""",
