@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskengine.llm.store import small_batches
 from riskengine.llm.textbytes import Substrings, U, blocks, string_parts
 
 WINDOW = 32
@@ -278,6 +279,7 @@ def _encode(path: str):
 
 def encode(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256, ids): ``ids`` as little-endian 32-bit integers."""
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("_text"))
     dealt = rows.mapInArrow(_route, "doc_id long, _text string, _route long, _salt long").repartition("_route", "_salt")
     return dealt.select("doc_id", "_text").mapInArrow(_encode(vocabulary or default_vocabulary()), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, ids binary")

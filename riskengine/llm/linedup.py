@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskengine.llm.store import materialise
+from riskengine.llm.store import materialise, small_batches
 from riskengine.llm.textbytes import Substrings, U, blocks, mix, string_parts, words
 
 MIN_WORDS = 50
@@ -119,6 +119,7 @@ def _order() -> list:
 def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(ord, th, gone): per document that loses lines, the numbers of these lines. ``ord`` is the
     ``doc_id`` (null: the largest long), ``th`` the hash of its text."""
+    small_batches(docs.sparkSession)
     rows = docs.select(*_order(), F.col("text").cast("string").alias("text")).where("text is not null")
     lines = materialise(rows.mapInArrow(_line_ids, "ord long, th long, seq long, words long, at array<int>, ids array<long>, sizes array<int>"), "lines")
     lines = lines.where("words > 0")

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskengine.llm.components import connected_components
-from riskengine.llm.store import materialise
+from riskengine.llm.store import materialise, small_batches
 from riskengine.llm.textbytes import U, blocks, mix, shingle_sets, string_parts
 
 BINS = 128
@@ -127,6 +127,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     around another centre in the next turn, against the members outside the centre's component
     only; turns end when one of them finds nothing to test, or no new link after the third.
     """
+    small_batches(docs.sparkSession)
     seen = materialise(sketches(docs), "minhash-sketches")
     keys = ["n_shingles", "set1", "set2"]
     filled = seen.where("n_shingles > 0")

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskengine.llm.folds import chance, held_out, learnable
-from riskengine.llm.store import materialise
+from riskengine.llm.store import materialise, small_batches
 from riskengine.llm.textbytes import Substrings, U, blocks, string_parts, words
 
 BUCKETS = 1 << 20
@@ -178,6 +178,7 @@ def _rows(features: np.ndarray):
 
 def learn(docs: DataFrame, labels: DataFrame) -> Classifier:
     """Fit on the documents that may be learned from; labels: (doc_id, toxic)."""
+    small_batches(docs.sparkSession)
     marks = labels.where(F.col("toxic").isNotNull() & learnable()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id")).where(learnable())
     sizes = ids.join(marks, "doc_id", "left").agg(F.count(F.lit(1)).alias("all"), F.count("toxic").alias("labelled"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("toxic")).first()
@@ -221,6 +222,7 @@ def _score(model):
 
 def score(docs: DataFrame, model: Classifier) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every row."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), F.col("text").cast("string").alias("_text"))
     return rows.mapInArrow(_score(shared), "doc_id long, held_out boolean, score double, predicted int")
@@ -228,6 +230,7 @@ def score(docs: DataFrame, model: Classifier) -> DataFrame:
 
 def without_toxic(docs: DataFrame, model: Classifier) -> DataFrame:
     """The rows whose text scores below the threshold, with all their columns."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
