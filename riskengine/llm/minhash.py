@@ -25,9 +25,12 @@ BAND_ROWS = 4
 SHINGLE = 5
 PERCENT = 75
 ROUNDS = 6
+SLOTS = 1 << 18
+CROWD = 1000
 
 _BIN_SHIFT = U(64 - BINS.bit_length() + 1)
 _PROBES = np.random.default_rng(5).integers(0, BINS, (BINS, 4096), dtype=np.int64)
+_SLOT_SHIFT = U(64 - SLOTS.bit_length() + 1)
 _ROW_SALT = np.random.default_rng(6).integers(1, 1 << 63, BINS, dtype=np.uint64)
 
 
@@ -114,6 +117,73 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return full.select("a", "b", "text_a", "text_b").mapInArrow(_confirm, "a long, b long").distinct()
 
 
+def _slot_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = np.zeros(SLOTS, dtype=np.int64)
+    for batch in batches:
+        for _lo, _hi, raw, offs in blocks(*string_parts(batch.column("text"))):
+            found = np.concatenate(shingle_sets(raw, offs, SHINGLE))
+            total += np.bincount((found >> _SLOT_SHIFT).astype(np.int64), minlength=SLOTS)
+    at = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["slot", "k"])
+
+
+def _rare_shingles(counts: np.ndarray):
+    """Per text the first shingles in the order of (count of the slot, hash), as many as any like text must share one of."""
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, sizes, places, shingles = [], [], [], []
+            for lo, _hi, raw, offs in blocks(*string_parts(batch.column("text"))):
+                for i, found in enumerate(shingle_sets(raw, offs, SHINGLE), lo):
+                    n = len(found)
+                    first = np.lexsort((found, counts[(found >> _SLOT_SHIFT).astype(np.int64)]))[: n - -(-PERCENT * n // 100) + 1]
+                    rows.append(np.full(len(first), i))
+                    sizes.append(np.full(len(first), n))
+                    places.append(np.arange(len(first)))
+                    shingles.append(found[first].view(np.int64))
+            rows, sizes, places, shingles = (np.concatenate([np.zeros(0, dtype=np.int64), *x]) for x in (rows, sizes, places, shingles))
+            at = pa.array(rows)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("rep").take(at), batch.column("part").take(at), pa.array(sizes), pa.array(places), pa.array(shingles)],
+                names=["rep", "part", "n", "place", "shingle"],
+            )
+
+    return search
+
+
+def rare_pairs(rest: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs (a, b) of ``rest``: (rep, part) in different parts, among them every pair that is alike enough.
+
+    All shingles have one order, roughly from rare to common. Two sets of n and m that share at least
+    ``need`` shingles share one whose place is at most n - need in one set and m - need in the other.
+    The part with most members of a shingle is never joined with itself, and crowded shingles are salted."""
+    full = materialise(texts.join(rest, "rep").select("rep", "part", "text"), "minhash-rest")
+    counts = np.zeros(SLOTS, dtype=np.int64)
+    for slot, k in full.select("text").mapInArrow(_slot_counts, "slot long, k long").groupBy("slot").agg(F.sum("k")).collect():
+        counts[slot] = k
+    rare = materialise(full.mapInArrow(_rare_shingles(counts), "rep long, part long, n long, place long, shingle long"), "minhash-rare")
+    shared = (
+        rare.groupBy("shingle", "part")
+        .agg(F.count(F.lit(1)).alias("k"))
+        .groupBy("shingle")
+        .agg(F.max_by("part", F.struct("k", "part")).alias("main"), F.count(F.lit(1)).alias("parts"), F.sum("k").alias("k"))
+        .where("parts > 1")
+        .select("shingle", "main", F.ceil(F.col("k") / CROWD).cast("int").alias("salts"))
+    )
+    rare = materialise(rare.join(shared, "shingle"), "minhash-shared")
+    left = rare.where("part <> main").withColumn("salt", F.pmod(F.xxhash64("rep"), F.col("salts")).cast("int"))
+    right = rare.select(
+        "shingle",
+        F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
+        *[F.col(c).alias(f"{c}_b") for c in ("rep", "part", "n", "place")],
+    )
+    need = f"(({PERCENT} * (n + n_b) + {99 + PERCENT}) div {100 + PERCENT})"
+    met = left.join(right, ["shingle", "salt"]).where(
+        f"part <> part_b and (part_b = main or rep < rep_b) and place <= n - {need} and place_b <= n_b - {need}"
+    )
+    return met.select(F.least("rep", "rep_b").alias("a"), F.greatest("rep", "rep_b").alias("b")).distinct()
+
+
 def _order(member: str, turn: int) -> Column:
     return F.xxhash64(F.col(member), F.lit(turn)) if turn else F.col(member)
 
@@ -125,7 +195,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     star of candidate edges runs from one centre to the other members, so n members give n - 1 edges.
     Edges are confirmed on the full sets. A bucket whose members are not all in one component gets a star
     around another centre in the next turn, against the members outside the centre's component
-    only; turns end when one of them finds nothing to test, or no new link after the third.
+    only; turns end when one of them finds nothing to test, or no new link after the third. Buckets
+    that still hold members of several components, none of them a centre so far, are finished by
+    ``rare_pairs``, which leaves no pair of theirs out.
     """
     small_batches(docs.sparkSession)
     seen = materialise(sketches(docs), "minhash-sketches")
@@ -138,12 +210,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     # every row whose text stands for a candidate class; equal rows once
     wanted = members.select(F.col("rep").alias("doc_id")).distinct()
     texts = materialise(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("text is not null").join(wanted, "doc_id", "left_semi").select(F.col("doc_id").alias("rep"), "text"), "minhash-texts")
-    links = tested = placed = None
+    links = tested = placed = centres = None
+
+    def in_parts() -> DataFrame:
+        if placed is None:
+            return members.withColumn("part", F.col("rep"))
+        return members.join(placed.withColumnRenamed("node", "rep"), "rep", "left").select("rep", "n", "bucket", F.coalesce("component", "rep").alias("part"))
+
     for turn in range(ROUNDS):
-        rows = members.withColumn("part", F.col("rep"))
-        if placed is not None:
-            rows = members.join(placed.withColumnRenamed("node", "rep"), "rep", "left").select("rep", "n", "bucket", F.coalesce("component", "rep").alias("part"))
+        rows = in_parts()
         mixed = rows.groupBy("bucket").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.min(F.struct(_order("rep", turn).alias("o"), "rep", "n", "part")).alias("c")).where("lo < hi").select("bucket", "c")
+        mixed = materialise(mixed, "minhash-mixed")
+        chosen = mixed.select("bucket", "c.rep", "c.n")
+        centres = chosen if centres is None else centres.unionByName(chosen)
         pairs = (
             rows.join(mixed, "bucket")
             .where(f"part <> c.part and 100 * least(n, c.n) >= {PERCENT} * greatest(n, c.n)")
@@ -162,6 +241,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             placed = materialise(connected_components(links), "minhash-components")
         elif turn >= 2:
             break
+    # pairs with a centre are settled: what is left are buckets with several components without their centres
+    untested = materialise(in_parts().join(centres.distinct(), ["bucket", "rep", "n"], "left_anti"), "minhash-untested")
+    crowds = untested.groupBy("bucket").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi").select("bucket")
+    rest = materialise(untested.join(crowds, "bucket").select("rep", "part").distinct(), "minhash-open")
+    if not rest.isEmpty():
+        pairs = rare_pairs(rest, texts)
+        if tested is not None:
+            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        new = materialise(confirmed(materialise(pairs, "minhash-pairs"), texts), "minhash-links")
+        if not new.isEmpty():
+            links = new if links is None else links.unionByName(new)
+            placed = materialise(connected_components(links), "minhash-components")
     rep = classes.select(*keys, "rep")
     if placed is not None:
         rep = rep.join(placed.withColumnRenamed("node", "rep"), "rep", "left").select(*keys, F.coalesce("component", "rep").alias("component_id"))

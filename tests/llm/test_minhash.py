@@ -53,6 +53,21 @@ def test_chain_joins_what_no_centre_links(spark):
     assert {r.component_id for r in got} == {0}
 
 
+def test_template_family_below_the_threshold(spark):
+    """Each text is 168 shared shingles and 32 others: unlike all but a twin, J = 0.724; twins share 10 more, J = 0.802."""
+    template = [f"t{k}" for k in range(172)]
+
+    def text(i, twin):
+        own = [f"p{twin}_{k}" for k in range(10)] + [f"o{i}_{k}" for k in range(22)]
+        return " ".join(template + own)
+
+    rows = [(i, text(i, i // 2 if i >= 60 else f"s{i}")) for i in range(200)]
+    want = brute(rows)
+    assert sum(not r[3] for r in want.elements()) == 70
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter(map(tuple, got)) == want
+
+
 def test_empty_table(empty):
     assert minhash.near_duplicates(empty).collect() == []
     assert minhash.keep_one_per_group(empty).columns == empty.columns
