@@ -3,7 +3,7 @@
 Defined results: null, empty or blank texts have an empty set and link with nothing. Rows with equal
 shingle sets form one class, represented by its smallest ``doc_id``. Rows are judged by their text;
 rows that share a ``doc_id`` are taken as the same document, a null ``doc_id`` row belongs to the class
-of its text but names nothing (its component is null if the class has no other id). An empty table
+of its text, links like any other, but names nothing (its component is null if it has no id at all). An empty table
 gives an empty table. Other columns of the input are ignored.
 """
 
@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -67,6 +68,7 @@ def band_keys(signature: np.ndarray) -> np.ndarray:
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offsets = string_parts(batch.column("text"))
+        unnamed = pc.if_else(batch.column("doc_id").is_null(), batch.column("text"), pa.scalar(None, batch.column("text").type))
         sizes, one, two, bands = [], [], [], []
         for _lo, _hi, raw, offs in blocks(data, offsets):
             for found in shingle_sets(raw, offs, SHINGLE):
@@ -83,15 +85,16 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array(one, pa.int64()),
                 pa.array(two, pa.int64()),
                 pa.ListArray.from_arrays(pa.array(lengths), pa.array(flat)),
+                unnamed,
             ],
-            names=["doc_id", "n_shingles", "set1", "set2", "bands"],
+            names=["doc_id", "n_shingles", "set1", "set2", "bands", "unnamed"],
         )
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """Per row: set size, two order-free digests of the set, band keys."""
+    """Per row: set size, two order-free digests of the set, band keys, and the text where ``doc_id`` is null."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(_sketch, "doc_id long, n_shingles long, set1 long, set2 long, bands array<long>")
+    return rows.mapInArrow(_sketch, "doc_id long, n_shingles long, set1 long, set2 long, bands array<long>, unnamed string")
 
 
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,8 +191,8 @@ def _order(member: str, turn: int) -> Column:
     return F.xxhash64(F.col(member), F.lit(turn)) if turn else F.col(member)
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """One row per input row: doc_id, n_shingles, component_id, kept.
+def _judged(docs: DataFrame) -> DataFrame:
+    """One row per input row: doc_id, n_shingles, unnamed, node (of its component), named (has an id).
 
     Equal sets are one class. The bands of the class representatives fill buckets; in each bucket a
     star of candidate edges runs from one centre to the other members, so n members give n - 1 edges.
@@ -203,13 +206,23 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     seen = materialise(sketches(docs), "minhash-sketches")
     keys = ["n_shingles", "set1", "set2"]
     filled = seen.where("n_shingles > 0")
-    classes = materialise(filled.groupBy(*keys).agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")), "minhash-classes")
-    members = classes.where("rep is not null").select("rep", F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket"))
+    classes = materialise(filled.groupBy(*keys).agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("unnamed", ignorenulls=True).alias("unnamed")), "minhash-classes")
+    # classes without any id are numbered above the largest one, so that a component's smallest node is an id if it has one
+    top = seen.agg(F.max("doc_id")).first()[0]
+    top = -1 if top is None else top
+    nameless = classes.where("rep is null").select(*keys)
+    if not nameless.isEmpty():
+        numbers = nameless.rdd.zipWithIndex().map(lambda r: (*r[0], top + 1 + r[1]))
+        numbers = docs.sparkSession.createDataFrame(numbers, "n_shingles long, set1 long, set2 long, number long")
+        classes = materialise(classes.join(numbers, keys, "left").withColumn("rep", F.coalesce("rep", "number")).drop("number"), "minhash-classes")
+    members = classes.select("rep", F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket"))
     crowded = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("bucket")
     members = materialise(members.join(crowded, "bucket"), "minhash-buckets")
     # every row whose text stands for a candidate class; equal rows once
-    wanted = members.select(F.col("rep").alias("doc_id")).distinct()
-    texts = materialise(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("text is not null").join(wanted, "doc_id", "left_semi").select(F.col("doc_id").alias("rep"), "text"), "minhash-texts")
+    wanted = members.select("rep").distinct()
+    named = docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("string").alias("text")).where("rep is not null and text is not null")
+    numbered = classes.where(F.col("rep") > top).select("rep", F.col("unnamed").alias("text"))
+    texts = materialise(named.unionByName(numbered).join(wanted, "rep", "left_semi"), "minhash-texts")
     links = tested = placed = centres = None
 
     def in_parts() -> DataFrame:
@@ -259,13 +272,31 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     else:
         rep = rep.withColumnRenamed("rep", "component_id")
     full = seen.drop("bands").join(rep, keys, "left")
-    component = F.coalesce("component_id", "doc_id")
-    return full.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(False)).alias("kept"))
+    node = F.coalesce("component_id", "doc_id")
+    return full.select("doc_id", "n_shingles", "unnamed", node.alias("node"), (node <= top).alias("named"))
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """One row per input row: doc_id, n_shingles, component_id, kept."""
+    component = F.when(F.col("named"), F.col("node"))
+    return _judged(docs).select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(False)).alias("kept"))
 
 
 def keep_one_per_group(docs: DataFrame) -> DataFrame:
     """The documents left when each near-duplicate group keeps its member with the smallest ``doc_id``;
-    documents without words stay, and so do rows without a ``doc_id`` unless their component is named."""
-    marks = near_duplicates(docs).where("not kept and component_id is not null").select(F.col("doc_id").alias("_gone")).distinct()
+    documents without words stay. Rows without a ``doc_id`` go if their component is named; of a
+    component without any id one row stays."""
+    judged = materialise(_judged(docs), "minhash-judged")
+    marks = judged.where("named and doc_id is not null and doc_id <> node").select(F.col("doc_id").alias("_gone")).distinct()
     # one plan at every size, see linedup
-    return docs.join(marks.hint("merge"), docs["doc_id"].eqNullSafe(marks["_gone"]), "left_anti")
+    kept = docs.join(marks.hint("merge"), docs["doc_id"] == marks["_gone"], "left_anti")
+    nameless = judged.where("doc_id is null and n_shingles > 0")
+    if nameless.isEmpty():
+        return kept
+    # rows without an id are known by their text
+    nodes = nameless.select(F.col("unnamed").alias("text"), "node", "named").distinct()
+    rows = docs.where("doc_id is null").select(F.struct("*").alias("row"), F.col("text").cast("string").alias("text"))
+    found = rows.where("text is not null").join(nodes.hint("merge"), "text", "left").select("row", "node", "named")
+    stay = found.where("node is null").unionByName(found.where("not named").dropDuplicates(["node"])).select("row")
+    stay = stay.unionByName(rows.where("text is null").select("row"))
+    return kept.where("doc_id is not null").unionByName(stay.select("row.*"))

@@ -81,6 +81,18 @@ def test_keep_one(docs):
     assert sorted({r.doc_id for r in kept.collect() if r.doc_id is not None}) == want
 
 
+def test_rows_without_an_id(spark, docs):
+    """They link like others; of a component without an id one row stays, the others' rows go."""
+    w = [f"w{k}" for k in range(90)]
+    named, alone, pair = " ".join(w[:40]), " ".join(w[40:50]), " ".join(w[50:])
+    rows = [(3, named), (None, named), (None, named + " tail"), (None, alone), (None, alone), (None, pair), (None, pair + " end"), (None, None), (None, ""), (None, "")]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    assert Counter(map(tuple, minhash.near_duplicates(table).collect())) == brute(rows)
+    left = Counter(map(tuple, minhash.keep_one_per_group(table).collect()))
+    assert left in [Counter([(3, named), (None, alone), (None, x), (None, None), (None, ""), (None, "")]) for x in (pair, pair + " end")]
+    assert [r.text for r in minhash.keep_one_per_group(docs).collect() if r.doc_id is None] == ["unnamed words stand here now"]
+
+
 def test_densified_signatures_estimate_similarity():
     rng = np.random.default_rng(1)
     for size in (8, 60, 3000):
