@@ -258,7 +258,7 @@ def _(spark, sf):
 
 @query("v16_normality")
 def _(spark, sf):
-    return V.normality(A.txn(spark, sf), ["Amount", "V1", "V14"])
+    return V.normality(A.txn(spark, sf), [*S.V_COLS, "Amount", "time_s"])
 
 
 @query(

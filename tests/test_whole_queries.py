@@ -3,6 +3,7 @@
 import __spark_entry__ as entry
 from riskengine.operators import models as L
 from riskengine.plans import runs
+from riskengine.schema import V_COLS
 
 
 def test_every_model_is_cross_validated_and_run(spark, small, monkeypatch):
@@ -23,3 +24,8 @@ def test_every_model_is_cross_validated_and_run(spark, small, monkeypatch):
     assert set(names) == every and {r.model_name for r in got} == every
     entry.queries()["m19_end_to_end_run"](spark, small)
     assert modes == ["full"]
+
+
+def test_normality_of_every_numeric_column(spark, small):
+    got = entry.queries()["v16_normality"](spark, small).collect()
+    assert sorted(r.column for r in got) == sorted([*V_COLS, "Amount", "time_s"])
