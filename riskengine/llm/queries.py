@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskengine.llm import bpe, embeddings, html, langid, linedup, minhash, mixing, ordermin, toxicity, warc
+from riskengine.llm import alignment, bpe, embeddings, html, langid, linedup, merkle, minhash, mixing, ordermin, toxicity, warc, winnowing
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,6 +58,18 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnowing.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("spans")
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.prove(merkle.build(table(spark, sf_dir, "documents")))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignments(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_minhash": op1_minhash,
     "op2_mixing": op2_mixing,
@@ -69,6 +81,9 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_html": op9_html,
     "op10_toxicity": op10_toxicity,
+    "op11_winnowing": op11_winnowing,
+    "op12_merkle": op12_merkle,
+    "op13_alignment": op13_alignment,
 }
 
 SHINGLE_LINKS = r"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
@@ -127,10 +142,46 @@ WARC_RECORDS = """WITH p AS (SELECT page_id, octet_length(encode(coalesce(html,
  SELECT page_id, n::BIGINT AS payload_bytes, p.d AS payload_digest, CASE WHEN page_id <> top THEN 'revisit' ELSE 'response' END AS record_type,
   CASE WHEN page_id <> top THEN top END AS refers_to FROM p LEFT JOIN t ON p.d = t.d AND n >= 1000"""
 
+ITEM_WINDOWS = r"""WITH d AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+ i AS (SELECT coalesce(item_id::VARCHAR, '') AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+ v AS (SELECT DISTINCT item, least(len(ws), 10) AS n, unnest(list_transform(range(1, len(ws) - least(len(ws), 10) + 2), lambda s: array_to_string(ws[s : s + least(len(ws), 10) - 1], ' '))) AS win FROM i WHERE len(ws) > 0),
+ o AS (SELECT r, n, unnest(range(1, len(ws) - n + 2)) AS s, unnest(list_transform(range(1, len(ws) - n + 2), lambda s: array_to_string(ws[s : s + n - 1], ' '))) AS win
+  FROM d, (SELECT DISTINCT n FROM v) WHERE len(ws) >= n),
+ h AS (SELECT o.r, o.n, s, item FROM o JOIN v ON o.win = v.win AND o.n = v.n),
+ w AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(s, s + n)) AS p FROM (SELECT DISTINCT r, n, s FROM h)) GROUP BY r),
+ m AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, item FROM h) GROUP BY r)
+ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+  FROM d LEFT JOIN w USING (r) LEFT JOIN m USING (r)"""
+
+_LEAF = "sha256(concat(" + ", ".join(f"CASE WHEN {c} IS NULL THEN '-' ELSE octet_length(encode({c}::VARCHAR)) || ':' || {c} END" for c in ("doc_id", "source", "lang", "{n_chars}", "text")) + "))"
+# the checksum bit by bit: DuckDB has no crc32 of its own
+_CRC = """(SELECT doc_id, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(doc_id::VARCHAR) + 1), lambda k: ascii(substr(doc_id::VARCHAR, k::INT, 1))::BIGINT)),
+  lambda a, x: list_reduce(list_prepend(xor(a, x), range(8)), lambda c, z: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384::BIGINT) ELSE c // 2 END)) AS c FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL))"""
+MERKLE = f"""WITH RECURSIVE l AS (SELECT doc_id, coalesce('=' || lang, '') AS tree, {_LEAF.format(n_chars='n_chars')} AS leaf, {_LEAF.format(n_chars='(n_chars + 1)')} AS changed FROM documents),
+ c AS {_CRC},
+ p AS (SELECT l.*, row_number() OVER (PARTITION BY tree ORDER BY l.doc_id NULLS FIRST, leaf) - 1 AS idx, count(*) OVER (PARTITION BY tree) AS n, coalesce(xor(c.c, 4294967295::BIGINT) % 7 = 0, false) AS hit
+  FROM l LEFT JOIN c ON l.doc_id = c.doc_id),
+ nodes AS (SELECT tree, 0 AS level, idx, n, leaf AS h FROM p
+  UNION ALL SELECT tree, level + 1, idx // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY idx)) FROM nodes WHERE n > 1 GROUP BY tree, level, idx // 2, n),
+ subs AS (SELECT tree, h, row_number() OVER (ORDER BY tree) - 1 AS idx, count(*) OVER () AS n FROM nodes WHERE n = 1),
+ top AS (SELECT 0 AS level, idx, n, h FROM subs UNION ALL SELECT level + 1, idx // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY idx)) FROM top WHERE n > 1 GROUP BY level, idx // 2, n),
+ steps AS (
+  SELECT p.tree, p.idx AS leaf_idx, a.level, CASE WHEN s.h IS NULL THEN '=' WHEN a.idx % 2 = 1 THEN '<' ELSE '>' END || coalesce(s.h, '') AS step
+   FROM p JOIN nodes a ON a.tree = p.tree AND a.n > 1 AND a.idx = p.idx >> a.level LEFT JOIN nodes s ON s.tree = a.tree AND s.level = a.level AND s.idx = xor(a.idx, 1)
+  UNION ALL SELECT p.tree, p.idx, 100 + a.level, CASE WHEN s.h IS NULL THEN '=' WHEN a.idx % 2 = 1 THEN '<' ELSE '>' END || coalesce(s.h, '')
+   FROM p JOIN subs ON subs.tree = p.tree JOIN top a ON a.n > 1 AND a.idx = subs.idx >> a.level LEFT JOIN top s ON s.level = a.level AND s.idx = xor(a.idx, 1)),
+ ways AS (SELECT tree, leaf_idx AS idx, list(step ORDER BY level) AS way FROM steps GROUP BY tree, leaf_idx),
+ f AS (SELECT doc_id, leaf, subs.h AS subroot, (SELECT h FROM top WHERE n = 1) AS root, coalesce(way, []) AS way, CASE WHEN hit AND changed IS NOT NULL THEN changed ELSE leaf END AS start
+  FROM p JOIN subs ON subs.tree = p.tree LEFT JOIN ways ON ways.tree = p.tree AND ways.idx = p.idx),
+ g AS (SELECT *, list_reduce(list_prepend(start, way), lambda a, x: CASE left(x, 1) WHEN '<' THEN sha256(substr(x, 2) || a) WHEN '>' THEN sha256(a || substr(x, 2)) ELSE sha256(a) END) AS folded_root FROM f)
+ SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(way, lambda x: substr(x, 2)), '')) AS proof_sha256, folded_root, folded_root = root AS verified FROM g"""
+
 ORACLES = {
     "op1_minhash": SHINGLE_LINKS,
     "op2_mixing": MIXED,
     "op4_embeddings": VECTOR_LINKS,
     "op6_linedup": LINE_RUNS,
     "op8_warc": WARC_RECORDS,
+    "op11_winnowing": ITEM_WINDOWS,
+    "op12_merkle": MERKLE,
 }
