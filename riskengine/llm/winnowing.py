@@ -68,6 +68,8 @@ def _winnowed() -> Column:
 
 
 def _fingerprinted(rows: DataFrame, *more: Column) -> DataFrame:
+    """Adds ``marks``. Take them apart with ``explode_outer``: ``explode`` infers a filter on the array's size, which
+    the optimizer pushes below the projections with every array computed anew for each element."""
     return _hashed(rows).withColumn("runs", F.when(F.col("n") >= SPAN, _packed_runs(GRAM))).withColumn("marks", F.concat(_winnowed(), *more)).drop("runs")
 
 
@@ -88,7 +90,7 @@ def item_windows(benchmark: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]
     marked = materialise(_fingerprinted(items), "winnow-items")
     short = F.col("n") < SPAN
     length = F.least("n", F.lit(SPAN))
-    keys = marked.where(~short).select(F.explode("marks").alias("mark")).select(F.shiftright("mark", 32).alias("key"), F.lit(SPAN).alias("length"))
+    keys = marked.where(~short).select(F.explode_outer("marks").alias("mark")).select(F.shiftright("mark", 32).alias("key"), F.lit(SPAN).alias("length"))
     # a short item's key is taken as a document's runs are, word by word
     for size in [r[0] for r in marked.where(short).select("n").distinct().collect()]:  # at most SPAN - 1 rows
         whole = F.shiftright(F.xxhash64(*[F.get("hashes", F.lit(j)) for j in range(size)]), 32)
@@ -108,17 +110,17 @@ def hits(docs: DataFrame, keys: DataFrame, windows: DataFrame) -> DataFrame:
     """Per distinct (doc_id, text): doc_id, text_key, n_words, copies, spans (sorted first and last + 1 word of
     every window found), sets (sorted keys of the item sets)."""
     sizes = [r[0] for r in keys.where(F.col("length") < SPAN).select("length").distinct().collect()]
-    every = keys.select("key", "length").unionByName(keys.sparkSession.createDataFrame([(_EVERY >> 32, 0)], "key long, length int"))
+    every = keys.select("key", "length").unionByName(keys.sparkSession.range(1).select(F.lit(_EVERY >> 32).cast("long").alias("key"), F.lit(0).alias("length")))
     rows = docs.select("doc_id", F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256).alias("text_key"), words_of(F.col("text")).alias("words"))
     marked = _fingerprinted(rows, *[_packed_runs(k) for k in sizes], F.array(F.lit(_EVERY)))
-    met = marked.select("doc_id", "text_key", "words", "n", F.explode("marks").alias("mark")).join(_bounded(every), F.shiftright("mark", 32) == F.col("key"))
+    met = marked.select("doc_id", "text_key", "words", "n", F.explode_outer("marks").alias("mark")).join(_bounded(every), F.shiftright("mark", 32) == F.col("key"))
     place = F.lit(_HIGH) - F.col("mark").bitwiseAND(F.lit(0xFFFFFFFF).cast("long")).cast("int")
     first = F.greatest(F.lit(0), place - F.when(F.col("length") == SPAN, SPAN - GRAM).otherwise(0))
     last = F.least(place, F.col("n") - F.col("length"))
     sentinel = F.col("mark") == F.lit(_EVERY)
     # a chance hit of another length may leave no room for its span
     starts = F.when(sentinel, F.array(F.lit(-1))).when((F.col("length") == 0) | (last < first), F.array().cast("array<int>")).otherwise(F.sequence(first, last))
-    tried = met.withColumn("start", F.explode(starts)).withColumn("span", F.when(F.col("start") >= 0, _span(F.col("start"), F.col("length"))))
+    tried = met.withColumn("start", F.explode_outer(starts)).withColumn("span", F.when(F.col("start") >= 0, _span(F.col("start"), F.col("length"))))
     found = tried.join(_bounded(windows), "span", "left").where("start < 0 or item_set is not null")
     real = F.col("start") >= 0
     return found.groupBy("doc_id", "text_key").agg(
