@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ["tables", "checks", "profile", "features", "scores", "models", "streams"]
+MODULES = ["tables", "checks", "profile", "features", "scores", "models", "streams", "watch"]
 
 
 def load_all():

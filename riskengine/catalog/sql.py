@@ -59,3 +59,16 @@ def trailing(table: str, width: int, tag: str, key: str = "txn_id", by: str = ""
     return f"""{tag} AS (SELECT {own}, count(*) AS count_{tag}, avg(b.Amount) AS avg_{tag}, stddev_pop(b.Amount) AS std_{tag}
    FROM {table} a JOIN (SELECT *, unnest([time_s // {width}, time_s // {width} + 1]) AS bk FROM {table}) b
    ON {same}b.bk = a.time_s // {width} AND b.time_s BETWEEN a.time_s - {width} AND a.time_s AND {not_after} GROUP BY {own})"""
+
+
+def areas(table: str, by: str, tag: str) -> str:
+    """CTEs ``tag``: samples, positives, pr_auc, average_precision, roc_auc, tn, fp, fn, tp at 0.5 per ``by`` of a table with p and label."""
+    return f"""{tag}_c AS (SELECT {by}, p, count(*) AS n, sum(label) AS pos FROM {table} GROUP BY ALL),
+ {tag}_r AS (SELECT *, coalesce(sum(n) OVER w, 0) AS bn, coalesce(sum(pos) OVER w, 0) AS bp FROM {tag}_c
+  WINDOW w AS (PARTITION BY {by} ORDER BY p DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+ {tag}_s AS (SELECT {by}, sum(n)::BIGINT AS samples, sum(pos)::BIGINT AS positives, sum(pos * ((bp + pos) / (bn + n) + CASE WHEN bn > 0 THEN bp / bn ELSE 1 END) / 2) AS trapezoid,
+  sum(pos * ((bp + pos) / (bn + n))) AS step, sum((n - pos) * (bp + pos / 2)) AS pairs, coalesce(sum(pos) FILTER (p >= 0.5), 0)::BIGINT AS tp, coalesce(sum(n - pos) FILTER (p >= 0.5), 0)::BIGINT AS fp
+  FROM {tag}_r GROUP BY ALL),
+ {tag} AS (SELECT {by}, samples, positives, CASE WHEN positives > 0 AND positives < samples THEN trapezoid / positives ELSE 0 END AS pr_auc,
+  CASE WHEN positives > 0 AND positives < samples THEN step / positives ELSE 0 END AS average_precision,
+  CASE WHEN positives > 0 AND positives < samples THEN pairs / (positives::DOUBLE * (samples - positives)) ELSE 0 END AS roc_auc, tp, fp, positives - tp AS fn, samples - positives - fp AS tn FROM {tag}_s)"""

@@ -73,12 +73,17 @@ def ranking_metrics(
 ) -> DataFrame:
     """Trapezoid PR area (starting at recall 0, precision 1), average precision (step
     sum) and ROC area. With one class only, all are 0."""
-    c = score_curve(scored, by, label, score, one_task_rows)
+    return curve_areas(score_curve(scored, by, label, score, one_task_rows), by, digits)
+
+
+def curve_areas(curve: DataFrame, by: Sequence[str], digits: int | None = 4, **more: Column) -> DataFrame:
+    """Areas of the curves that ``score_curve`` gives; ``more``: further aggregates of a curve's rows by name."""
     n, pos, bn, bp = (F.col(x) for x in ("n", "pos", "before_n", "before_pos"))
     precision = (bp + pos) / (bn + n)
     before = F.when(bn > 0, bp / bn).otherwise(1.0)
     neg = n - pos
-    totals = c.groupBy(*by).agg(
+    totals = curve.groupBy(*by).agg(
+        *[c.alias(name) for name, c in more.items()],
         F.sum(n).alias("samples"),
         F.sum(pos).alias("positives"),
         F.sum(pos * (precision + before) / 2).alias("_trapezoid"),
@@ -100,6 +105,7 @@ def ranking_metrics(
         done(F.col("_trapezoid") / p).alias("pr_auc"),
         done(F.col("_step") / p).alias("average_precision"),
         done(F.col("_pairs") / (p.cast("double") * q)).alias("roc_auc"),
+        *more,
     )
 
 
