@@ -61,26 +61,23 @@ for _id, _name in zip(
     query(f"{_id}_{_name}", facts_sql(_name, "time_s > edge_s"))(_fit_and_score(_name))
 
 
-# the log has a fifth of errors: for SMOTE, fraud is every fifth of them, so that rows are missing
-_RARE = "CASE WHEN txn_id % 5 = 0 THEN Class ELSE 0 END"
-
-
-def rare_training_rows(spark, sf):
+def smote_rows(spark, sf):
+    """The training rows with the log's own classes: a fifth is fraud, so rows are missing up to 0.3 of the others."""
     train, _test = training_rows(spark, sf)
-    return runs.materialise(train.withColumn("Class", F.expr(_RARE)), "rare")
+    return runs.materialise(train, "smote")
 
 
 @query(
     "m8_smote",
-    f"""WITH {SPLIT}, r AS (SELECT CASE WHEN txn_id % 5 = 0 THEN Class ELSE 0 END AS y FROM log, edge WHERE time_s <= edge_s)
+    f"""WITH {SPLIT}, r AS (SELECT Class AS y FROM log, edge WHERE time_s <= edge_s)
  SELECT count(*) FILTER (y = 1) AS positives, CAST(floor(0.3::DOUBLE * count(*) FILTER (y = 0)) AS BIGINT) - count(*) FILTER (y = 1) AS made,
  count(*) AS real_rows, true AS inside_the_box, true AS new_points FROM r""",
 )
 def _(spark, sf):
     """Synthetic rows lie inside the box of the minority, and few are copies of a real row."""
-    rare = rare_training_rows(spark, sf)
-    out = L.smote(rare, INPUTS)
-    real = rare.where("Class = 1")
+    rows = smote_rows(spark, sf)
+    out = L.smote(rows, INPUTS)
+    real = rows.where("Class = 1")
     box = real.agg(*[f(c).alias(f"_{n}_{c}") for c in INPUTS for n, f in (("lo", F.min), ("hi", F.max))])  # one row
     new = F.col("txn_id").isNull()
     inside = F.forall(F.array(*[F.col(c).between(F.col(f"_lo_{c}") - 1e-9, F.col(f"_hi_{c}") + 1e-9) for c in INPUTS]), lambda x: x)
@@ -98,12 +95,12 @@ def _(spark, sf):
 
 @query(
     "m8_smote_class_counts",
-    f"""WITH {SPLIT}, r AS (SELECT CASE WHEN txn_id % 5 = 0 THEN Class ELSE 0 END AS y FROM log, edge WHERE time_s <= edge_s)
+    f"""WITH {SPLIT}, r AS (SELECT Class AS y FROM log, edge WHERE time_s <= edge_s)
  SELECT 0 AS Class, count(*) FILTER (y = 0) AS n FROM r UNION ALL
  SELECT 1, greatest(count(*) FILTER (y = 1), CAST(floor(0.3::DOUBLE * count(*) FILTER (y = 0)) AS BIGINT)) FROM r""",
 )
 def _(spark, sf):
-    return L.smote(rare_training_rows(spark, sf), INPUTS).groupBy("Class").agg(F.count(F.lit(1)).alias("n"))
+    return L.smote(smote_rows(spark, sf), INPUTS).groupBy("Class").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(
@@ -116,33 +113,27 @@ def _(spark, sf):
     return folded.groupBy("Class", "fold").agg(F.count(F.lit(1)).alias("rows"))
 
 
-# the models named in the SQL of m10
-CV_MODELS = ["logistic_regression", "decision_tree", "naive_bayes"]
+ALL_MODELS = [name for tier in L.TIERS.values() for name in tier]
 
 
 def cross_validated(spark, sf, names):
     train, _test = training_rows(spark, sf)
-    stored = runs.materialise(train, "cv")
-    out = None
-    for name in names:
-        one = L.cross_validate(name, stored, INPUTS)
-        out = one if out is None else out.unionByName(one)
-    return out
-
+    return L.cross_validate(names, train, INPUTS)
 
-_CV_SQL = f"""SELECT model_name, metric, fold, true AS is_share FROM (SELECT unnest({CV_MODELS}) AS model_name),
- (SELECT unnest(['roc_auc', 'average_precision', 'precision', 'recall', 'f1_score']) AS metric), (SELECT unnest([0, 1, 2]) AS fold)"""
 
-
-@query("m10_cross_validation", _CV_SQL)
+@query(
+    "m10_cross_validation",
+    f"""SELECT model_name, metric, fold, true AS is_share FROM (SELECT unnest({ALL_MODELS}) AS model_name),
+ (SELECT unnest(['roc_auc', 'average_precision', 'precision', 'recall', 'f1_score']) AS metric), (SELECT unnest([0, 1, 2]) AS fold)""",
+)
 def _(spark, sf):
-    return cross_validated(spark, sf, CV_MODELS).select("model_name", "metric", "fold", F.col("value").between(0, 1).alias("is_share"))
+    return cross_validated(spark, sf, ALL_MODELS).select("model_name", "metric", "fold", F.col("value").between(0, 1).alias("is_share"))
 
 
 @query("a24_fold_summary")
 def _(spark, sf):
     """Folds of every model of both tiers."""
-    return M.fold_summary(cross_validated(spark, sf, [name for tier in L.TIERS.values() for name in tier]))
+    return M.fold_summary(cross_validated(spark, sf, ALL_MODELS))
 
 
 @query(

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import math
 import time
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
@@ -19,16 +20,20 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark import inheritable_thread_target
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskengine.functions.columns import count_if, row_order
 from riskengine.operators import metrics as M
 from riskengine.operators.ranking import after, rows_at_ranks
+from riskengine.session import scratch_path
 
 SEED = 42
 FOLDS = 3
 SMOTE_RATIO = 0.3
+ROWS_PER_TASK = 200_000
+PARALLEL_FITS = 8
 TIERS = {
     "baseline": ["logistic_regression", "decision_tree", "naive_bayes", "random_forest"],
     "advanced": ["boosted_trees_a", "boosted_trees_b", "mlp"],
@@ -58,57 +63,90 @@ def smote_neighbours(minority: int, folds: int = FOLDS) -> int:
     return max(1, min(5, minority // folds - 1))
 
 
-def _nearest(table: np.ndarray, ids: np.ndarray, k: int) -> list[list[dict]]:
-    """The k nearest other rows of every row: distance squared, id and vector; equal distances by id."""
+def _nearest(asked: np.ndarray, names: np.ndarray, table: np.ndarray, ids: np.ndarray, k: int) -> list[list[dict]]:
+    """Of ``table`` the k nearest rows with another id: distance squared, id and vector; equal distances by id."""
     sq = (table**2).sum(axis=1)
     out = []
-    for start in range(0, len(table), 512):
-        block = table[start : start + 512]
-        dist = sq[start : start + 512][:, None] - 2.0 * block @ table.T + sq[None, :]
-        dist[np.arange(len(block)), start + np.arange(len(block))] = np.inf
+    for start in range(0, len(asked), 512):
+        block, who = asked[start : start + 512], names[start : start + 512]
+        dist = (block**2).sum(axis=1)[:, None] - 2.0 * block @ table.T + sq[None, :]
+        dist[who[:, None] == ids[None, :]] = np.inf
         for i, row in enumerate(dist):
-            near = np.argpartition(row, min(k, len(row) - 1))[:k] if len(row) > k else np.arange(len(row))
+            near = np.argpartition(row, k - 1)[:k] if len(row) > k else np.arange(len(row))
             near = [j for j in near if np.isfinite(row[j])]
             exact = [float(((block[i] - table[j]) ** 2).sum()) for j in near]
             out.append([{"d": exact[o], "id": int(ids[near[o]]), "v": table[near[o]].tolist()} for o in np.lexsort((ids[near], exact))])
     return out
 
 
+#: pivots at most, a sample of the rows that fits any driver and task (18 MB at 34 columns)
+MOST_PIVOTS = 1 << 16
+
+
+def _nearest_pivots(pivots: np.ndarray, probes: int, key: str):
+    """Per row the cells of its nearest pivots; ``own`` marks the first one, where the row itself is kept."""
+    size = (pivots**2).sum(axis=1)
+
+    def assign(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            for start in range(0, len(pdf), 256):
+                part = pdf.iloc[start : start + 256]
+                table = np.array(part["x"].tolist(), dtype=float)
+                away = size[None, :] - 2.0 * table @ pivots.T
+                near = np.argpartition(away, probes - 1, axis=1)[:, :probes] if probes < len(pivots) else np.tile(np.arange(len(pivots)), (len(part), 1))
+                first = away.argmin(axis=1)
+                yield pd.DataFrame(
+                    {
+                        key: np.repeat(part[key].to_numpy(), near.shape[1]),
+                        "x": [x for x in part["x"] for _ in range(near.shape[1])],
+                        "cell": near.ravel().astype(np.int64),
+                        "own": (near == first[:, None]).ravel(),
+                    }
+                )
+
+    return assign
+
+
 def minority_neighbours(
-    minority: DataFrame, key: str, n: int, k: int, leaf_rows: int = 2_000, trees: int = 6, seed: int = SEED
+    minority: DataFrame, key: str, n: int, k: int, leaf_rows: int = 2_000, seed: int = SEED, cell_rows: int = 500, probes: int = 16
 ) -> DataFrame:
-    """Add ``nb``, the vectors of the nearest minority rows found, to (key, x).
-
-    Each of ``trees`` random trees halves the rows at the median along a random direction, level by level,
-    until a leaf holds about ``leaf_rows``; rows equal at a median are dealt to both sides by a hash of
-    the key. Neighbours are searched inside each leaf and the nearest over all trees are kept. Rows that fit one leaf
-    get their exact neighbours. One row per leaf comes to the planner's side; no row of the data does."""
-    width = len(minority.select("x").first()["x"])
-    levels = max(0, math.ceil(math.log2(max(1, n) / leaf_rows)))
-    found = None
-    for tree in range(trees if levels else 1):
-        rows = minority.select(key, "x", F.lit(0).cast("long").alias("_node"))
-        for level in range(levels):
-            direction = np.random.default_rng([seed, tree, level]).normal(size=width)
-            along = F.aggregate(F.zip_with("x", F.array(*[F.lit(float(d)) for d in direction]), lambda a, b: a * b), F.lit(0.0), lambda a, v: a + v)
-            rows = rows.withColumn("_at", along)
-            middle = rows.groupBy("_node").agg(F.percentile_approx("_at", 0.5, 10_000).alias("_middle"))
-            coin = F.pmod(F.xxhash64(F.lit(seed + tree), F.lit(level), key), F.lit(2))
-            side = F.when(F.col("_at") > F.col("_middle"), 1).when(F.col("_at") < F.col("_middle"), 0).otherwise(coin)
-            rows = rows.join(middle, "_node").select(key, "x", (F.col("_node") * 2 + side).alias("_node"))
-        leaves = rows.groupBy("_node").applyInPandas(_leaf_neighbours(key, k), f"{key} long, x array<double>, near array<struct<d: double, id: long, v: array<double>>>")
-        found = leaves if found is None else found.unionByName(leaves)
-    if levels:
-        # at most trees * k candidates a row
-        found = found.groupBy(key).agg(F.first("x").alias("x"), F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
-    nearest = F.slice(F.array_sort("near"), 1, k)
-    return found.select(key, "x", F.transform(nearest, lambda c: c["v"]).alias("nb"))
-
-
-def _leaf_neighbours(key: str, k: int):
+    """Add ``nb``, the vectors of the nearest other minority rows found, to (key, x).
+
+    Up to ``leaf_rows`` rows get their exact neighbours. Beyond, rows are kept in cells around pivots, a random sample of the rows
+    (one of ``cell_rows``, at most ``MOST_PIVOTS``), so that dense regions have many cells and cells are of
+    like size wherever the rows lie. Every row is kept in the cell of its nearest pivot and searched for in its ``probes`` nearest
+    cells; the nearest over all of them are its neighbours. The plan has the same size for any number of rows. Rows equal in all columns
+    are one point, so copies cannot crowd a cell; the nearest neighbours of a copy are its copies."""
+    points = minority.groupBy("x").agg(F.count(F.lit(1)).alias("_copies"), F.min(key).alias("_point"))
+    near = "near array<struct<d: double, id: long, v: array<double>>>"
+    if n <= leaf_rows:
+        searched = points.select(F.col("_point").alias(key), "x", F.lit(0).cast("long").alias("cell"), F.lit(True).alias("own"))
+    else:
+        wanted = min(MOST_PIVOTS, math.ceil(n / cell_rows))
+        hashed = points.select("x", row_order(points, ["_point"], seed).alias("_h"), "_point")
+        pivots = np.array([r["x"] for r in hashed.orderBy("_h", "_point").limit(wanted).select("x").collect()], dtype=float)
+        # the shared number of probes, or every cell where there are fewer
+        assign = _nearest_pivots(pivots, min(probes, len(pivots)), key)
+        searched = points.select(F.col("_point").alias(key), "x").mapInPandas(assign, f"{key} long, x array<double>, cell long, own boolean")
+    found = searched.groupBy("cell").applyInPandas(_cell_neighbours(key, k), f"{key} long, {near}")
+    found = found.groupBy(F.col(key).alias("_point")).agg(F.array_sort(F.flatten(F.collect_list("near"))).alias("near"))
+    every = minority.join(points, "x").join(found, "_point", "left")
+    # the copies of the row, then the neighbours of its point
+    copies = F.array_repeat("x", F.least(F.col("_copies") - 1, F.lit(k)).cast("int"))
+    others = F.transform(F.coalesce("near", F.array().cast("array<struct<d: double, id: long, v: array<double>>>")), lambda c: c["v"])
+    return every.select(key, "x", F.slice(F.concat(copies, others), 1, k).alias("nb"))
+
+
+def _cell_neighbours(key: str, k: int):
+    """The k nearest points kept in a cell, for every point that is searched for there."""
+
     def search(pdf: pd.DataFrame) -> pd.DataFrame:
-        table, ids = np.array(pdf["x"].tolist(), dtype=float), pdf[key].to_numpy()
-        return pd.DataFrame({key: ids, "x": pdf["x"], "near": _nearest(table, ids, k)})
+        own = pdf[pdf["own"]]
+        if own.empty:
+            return pd.DataFrame({key: pd.Series([], dtype="int64"), "near": pd.Series([], dtype=object)})
+        table, ids = np.array(own["x"].tolist(), dtype=float), own[key].to_numpy()
+        asked, names = np.array(pdf["x"].tolist(), dtype=float), pdf[key].to_numpy()
+        return pd.DataFrame({key: names, "near": _nearest(asked, names, table, ids, k)})
 
     return search
 
@@ -202,15 +240,94 @@ def make_model(name: str, cols: Sequence[str], rows: int, label: str = "Class",
     return Pipeline(stages=[*stages, model])
 
 
-def fit(
-    name: str, train: DataFrame, cols: Sequence[str], label: str = "Class", key: str = "txn_id", effort: float = 1.0
-) -> PipelineModel:
-    """Balance the training rows the way the model needs it, then fit on all of them."""
+def stored_rows(df: DataFrame, label: str) -> tuple[DataFrame, int]:
+    """A training set written once, so that no pass of a fit computes it anew, and its row count. A small one is
+    one file per ``ROWS_PER_TASK`` rows: the many short jobs of a boosted model then have few tasks."""
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    df.write.parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    rows = stored.count()
+    tasks = max(1, math.ceil(rows / ROWS_PER_TASK))
+    return (stored.coalesce(tasks) if tasks < spark.sparkContext.defaultParallelism else stored), rows
+
+
+def side_by_side(work: Sequence[Callable[[], object]], spark: SparkSession, threads: int = PARALLEL_FITS) -> list:
+    """The results of independent pieces of driver work, ``threads`` of them at a time. Spark shares its executors
+    among their jobs."""
+
+    def run(piece: Callable[[], object]) -> object:
+        # each thread gets the session's local properties
+        return inheritable_thread_target(spark)(piece)()
+
+    with ThreadPool(max(1, min(threads, len(work)))) as pool:
+        return pool.map(run, work, chunksize=1)
+
+
+def balanced_rows(name: str, train: DataFrame, cols: Sequence[str], label: str = "Class", key: str = "txn_id") -> tuple[DataFrame, int]:
+    """The training rows balanced the way a model needs it, stored."""
     if name in NEEDS_SMOTE:
         ready = smote(train, cols, label, key).withColumn("weight", F.lit(1.0))
     else:
         ready = with_weights(train, "positive" if name == "boosted_trees_a" else "balanced", label)
-    return make_model(name, cols, ready.count(), label, effort).fit(ready)
+    return stored_rows(ready.select(*cols, label, "weight"), "balanced")
+
+
+def fit(
+    name: str,
+    train: DataFrame,
+    cols: Sequence[str],
+    label: str = "Class",
+    key: str = "txn_id",
+    effort: float = 1.0,
+    ready: tuple[DataFrame, int] | None = None,
+) -> PipelineModel:
+    """Balance the training rows the way the model needs it, then fit on all of them. ``ready``: what
+    ``balanced_rows`` gave, where several models share it."""
+    rows, n = ready or balanced_rows(name, train, cols, label, key)
+    if name == "mlp":
+        return fit_mlp(rows, cols, label, effort)[0]
+    return make_model(name, cols, n, label, effort).fit(rows)
+
+
+def fit_mlp(
+    rows: DataFrame,
+    cols: Sequence[str],
+    label: str = "Class",
+    effort: float = 1.0,
+    seed: int = SEED,
+    iterations: int = 10,
+    patience: int = 3,
+    share: float = 0.1,
+    least_gain: float = 1e-4,
+) -> tuple[PipelineModel, list[tuple[int, float]]]:
+    """The network fitted in rounds of ``iterations``, each from the weights of the one before, until the loss on a held-out
+    share has not fallen by ``least_gain`` for ``patience`` rounds or the full number of iterations is reached. Returns the
+    best round's model and (round, held-out loss) of every round. Rows are held out by a hash of their values; without any
+    held-out or fitted rows all rounds are run on all rows."""
+    assembler, scaler, network = make_model("mlp", cols, 0, label, effort, seed).getStages()
+    limit = network.getMaxIter()
+    front = Pipeline(stages=[assembler, scaler]).fit(rows)
+    held = F.pmod(F.xxhash64(F.lit(seed), *cols), F.lit(1000)) < int(1000 * share)
+    table, _n = stored_rows(front.transform(rows).select("features", label, held.alias("_held")), "mlp")
+    inner, outer = table.where("not _held"), table.where("_held")
+    kinds = [r[0] for r in inner.select(label).distinct().limit(2).collect()]
+    if len(kinds) < 2 or outer.isEmpty():
+        inner, outer, patience = table, table, math.ceil(limit / iterations)
+    network = network.copy().setMaxIter(min(iterations, limit))
+    best, history = None, []
+    for turn in range(1, math.ceil(limit / iterations) + 1):
+        model = network.fit(inner)
+        network = network.setInitialWeights(model.weights)
+        p = vector_to_array("probability")
+        right = F.when(F.col(label) == 1, p[1]).otherwise(p[0])
+        loss = model.transform(outer).agg(F.avg(-F.log(F.greatest(right, F.lit(1e-15))))).first()[0]
+        history.append((turn, loss))
+        if best is None or loss < best[0] - least_gain:
+            best = (loss, turn, model)
+        elif turn - best[1] >= patience:
+            break
+    return PipelineModel([*front.stages, best[2]]), history
 
 
 def score(model: PipelineModel, df: DataFrame, name: str, label: str = "Class", key: str = "txn_id") -> DataFrame:
@@ -228,8 +345,6 @@ def feature_importance(model: PipelineModel, cols: Sequence[str]) -> DataFrame:
         values = np.abs(last.coefficients.toArray())
     else:
         raise ValueError(f"{type(last).__name__} has no importances")
-    from pyspark.sql import SparkSession
-
     rows = [(c, float(v)) for c, v in zip(cols, values)]
     spark = SparkSession.getActiveSession()
     return spark.createDataFrame(rows, "feature string, importance double").orderBy(F.col("importance").desc(), "feature")
@@ -257,8 +372,11 @@ def stratified_folds(
     return hashed.withColumn(out, fold).drop("_h")
 
 
+FOLD_METRICS = ["roc_auc", "average_precision", "precision", "recall", "f1_score"]
+
+
 def cross_validate(
-    name: str,
+    names: str | Sequence[str],
     df: DataFrame,
     cols: Sequence[str],
     k: int = FOLDS,
@@ -266,23 +384,40 @@ def cross_validate(
     key: str = "txn_id",
     effort: float = 1.0,
     threshold: float = 0.5,
+    threads: int = PARALLEL_FITS,
 ) -> DataFrame:
-    """(model_name, metric, fold, value). Balancing happens inside the training folds."""
-    folded = stratified_folds(df, k, label, key)
-    out = None
-    for i in range(k):
-        model = fit(name, folded.where(F.col("fold") != i), cols, label, key, effort)
-        scored = score(model, folded.where(F.col("fold") == i), name, label, key)
-        areas = M.ranking_metrics(scored, digits=None)
-        cells = M.rates(M.confusion_matrix(scored, threshold), None)
-        names = ["roc_auc", "average_precision", "precision", "recall", "f1_score"]
-        found = areas.join(cells, "model_name").select(
-            "model_name",
-            F.lit(i).alias("fold"),
-            F.inline(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in names])),
-        )
-        out = found if out is None else out.unionByName(found)
-    return out
+    """(model_name, fold, metric, value). Balancing happens inside the training folds: each fold's training set is made and
+    stored once per way of balancing, and the fits of all models and folds run side by side. A fit leaves five figures."""
+    spark = df.sparkSession
+    names = [names] if isinstance(names, str) else list(names)
+    folded, _n = stored_rows(stratified_folds(df.select(key, label, *cols), k, label, key), "folds")
+    ways = {name: "smote" if name in NEEDS_SMOTE else "positive" if name == "boosted_trees_a" else "balanced" for name in names}
+    first = {(way, i): name for name, way in reversed(ways.items()) for i in range(k)}
+
+    def training_set(name: str, i: int) -> Callable[[], tuple[DataFrame, int]]:
+        return lambda: balanced_rows(name, folded.where(F.col("fold") != i), cols, label, key)
+
+    made = side_by_side([training_set(name, i) for (_way, i), name in first.items()], spark, threads)
+    sets = dict(zip(first, made, strict=True))
+
+    def one(name: str, i: int) -> Callable[[], list[tuple]]:
+        def work() -> list[tuple]:
+            model = fit(name, folded, cols, label, key, effort, sets[ways[name], i])
+            scored, _rows = stored_rows(score(model, folded.where(F.col("fold") == i), name, label, key), "fold-scores")
+            areas = M.ranking_metrics(scored, digits=None)
+            row = areas.join(M.rates(M.confusion_matrix(scored, threshold), None), "model_name").first()
+            return [(name, i, m, float(row[m])) for m in FOLD_METRICS]
+
+        return work
+
+    # the longest fits first
+    order = sorted(names, key=_SLOWEST.index)
+    rows = side_by_side([one(name, i) for name in order for i in range(k)], spark, threads)
+    return spark.createDataFrame([r for part in rows for r in part], "model_name string, fold int, metric string, value double")
+
+
+#: models from the slowest fit to the fastest
+_SLOWEST = ["boosted_trees_b", "boosted_trees_a", "random_forest", "mlp", "logistic_regression", "decision_tree", "naive_bayes"]
 
 
 def timed_scoring(model: PipelineModel, df: DataFrame, name: str) -> tuple[float, int]:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -171,24 +172,28 @@ def end_to_end(
 ) -> dict[str, DataFrame]:
     """Validated table to evaluated models; ``mode`` is baseline, advanced or full."""
     tiers = ["baseline", "advanced"] if mode == "full" else [mode]
-    scores, names = None, []
-    timing = []
-    for tier in tiers:
-        train, test, cols = prepare(df, tier, dry_run=dry_run)
-        for name in L.TIERS[tier]:
-            if models is not None and name not in models:
-                continue
+    spark = df.sparkSession
+
+    def one(name: str, tier: str, train: DataFrame, test: DataFrame, cols: list[str]):
+        def work():
             began = time.perf_counter()
             model = L.fit(name, train, cols, effort=effort)
-            full_name = f"{name}_{tier}"
             if model_folder:
                 L.save_model(model, model_folder, name, tier)
-            scored = L.score(model, test, full_name)
-            scores = scored if scores is None else scores.unionByName(scored)
-            names.append(full_name)
-            timing.append((full_name, time.perf_counter() - began))
+            full_name = f"{name}_{tier}"
+            return L.score(model, test, full_name), (full_name, time.perf_counter() - began)
+
+        return work
+
+    work = []
+    for tier in tiers:
+        prepared = prepare(df, tier, dry_run=dry_run)
+        work += [one(name, tier, *prepared) for name in L.TIERS[tier] if models is None or name in models]
+    done = L.side_by_side(work, spark)
+    timing = [t for _scored, t in done]
+    scores = reduce(DataFrame.unionByName, [scored for scored, _t in done])
     stored = materialise(scores, "scores")
     out = evaluation(stored)
     out["scores"] = stored
-    out["timing"] = df.sparkSession.createDataFrame(timing, "model_name string, fit_seconds double")
+    out["timing"] = spark.createDataFrame(timing, "model_name string, fit_seconds double")
     return out
