@@ -42,3 +42,20 @@ def connected_components(edges: DataFrame, rounds: int = 40) -> DataFrame:
     else:
         raise RuntimeError("components did not settle")
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+
+
+def extended(placed: DataFrame | None, links: DataFrame) -> DataFrame:
+    """(node, component) after further links (a, b), stored. Only the links between components are contracted anew, not those
+    that made ``placed``."""
+    if placed is None:
+        return materialise(connected_components(links), "components")
+    ends = links
+    for c in ("a", "b"):
+        near = placed.select(F.col("node").alias(c), F.col("component").alias(f"_{c}"))
+        ends = ends.join(near, c, "left")
+    between = ends.select(F.coalesce("_a", "a").alias("a"), F.coalesce("_b", "b").alias("b")).where("a <> b").distinct()
+    moved = materialise(connected_components(between), "components")
+    to = moved.select(F.col("node").alias("component"), F.col("component").alias("_to"))
+    old = placed.join(to, "component", "left").select("node", F.coalesce("_to", "component").alias("component"))
+    new = moved.join(placed.select("node"), "node", "left_anti").select("node", "component")
+    return materialise(old.unionByName(new), "components")

@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskengine.llm.components import connected_components
+from riskengine.llm.components import extended
 from riskengine.llm.store import materialise, small_batches
 from riskengine.llm.textbytes import U, blocks, mix, shingle_sets, string_parts
 
@@ -162,8 +162,9 @@ def rare_pairs(rest: DataFrame, texts: DataFrame) -> DataFrame:
     The part with most members of a shingle is never joined with itself, and crowded shingles are salted."""
     full = materialise(texts.join(rest, "rep").select("rep", "part", "text"), "minhash-rest")
     counts = np.zeros(SLOTS, dtype=np.int64)
-    for slot, k in full.select("text").mapInArrow(_slot_counts, "slot long, k long").groupBy("slot").agg(F.sum("k")).collect():
-        counts[slot] = k
+    # at most SLOTS rows
+    found = full.select("text").mapInArrow(_slot_counts, "slot long, k long").groupBy("slot").agg(F.sum("k").alias("k")).toArrow()
+    counts[found["slot"].to_numpy()] = found["k"].to_numpy()
     rare = materialise(full.mapInArrow(_rare_shingles(counts), "rep long, part long, n long, place long, shingle long"), "minhash-rare")
     shared = (
         rare.groupBy("shingle", "part")
@@ -223,7 +224,7 @@ def _judged(docs: DataFrame) -> DataFrame:
     named = docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("string").alias("text")).where("rep is not null and text is not null")
     numbered = classes.where(F.col("rep") > top).select("rep", F.col("unnamed").alias("text"))
     texts = materialise(named.unionByName(numbered).join(wanted, "rep", "left_semi"), "minhash-texts")
-    links = tested = placed = centres = None
+    tested = placed = centres = None
 
     def in_parts() -> DataFrame:
         if placed is None:
@@ -250,8 +251,7 @@ def _judged(docs: DataFrame) -> DataFrame:
         tested = pairs if tested is None else tested.unionByName(pairs)
         new = materialise(confirmed(pairs, texts), "minhash-links")
         if not new.isEmpty():
-            links = new if links is None else links.unionByName(new)
-            placed = materialise(connected_components(links), "minhash-components")
+            placed = extended(placed, new)
         elif turn >= 2:
             break
     # pairs with a centre are settled: what is left are buckets with several components without their centres
@@ -264,8 +264,7 @@ def _judged(docs: DataFrame) -> DataFrame:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         new = materialise(confirmed(materialise(pairs, "minhash-pairs"), texts), "minhash-links")
         if not new.isEmpty():
-            links = new if links is None else links.unionByName(new)
-            placed = materialise(connected_components(links), "minhash-components")
+            placed = extended(placed, new)
     rep = classes.select(*keys, "rep")
     if placed is not None:
         rep = rep.join(placed.withColumnRenamed("node", "rep"), "rep", "left").select(*keys, F.coalesce("component", "rep").alias("component_id"))

@@ -201,11 +201,16 @@ def learn(docs: DataFrame, labels: DataFrame) -> Classifier:
     features = np.sort(chosen["feature"].to_numpy())
     table = sample.mapInArrow(_rows(features), "positive boolean, kinds array<int>, values array<double>").toArrow()
     groups: dict[bool, list] = {True: [], False: []}
-    for positive, kinds, values in zip(table["positive"].to_pylist(), table["kinds"].to_pylist(), table["values"].to_pylist(), strict=True):
-        groups[positive].append((np.array(kinds, dtype=np.int64), np.array(values, dtype=np.float64)))
+    for batch in table.to_batches():
+        offsets = batch.column("kinds").offsets.to_numpy()
+        kinds, values = (batch.column(c).values.to_numpy() for c in ("kinds", "values"))
+        for i, positive in enumerate(batch.column("positive").to_pylist()):
+            at = slice(offsets[i], offsets[i + 1])
+            groups[positive].append((kinds[at].astype(np.int64), values[at].astype(np.float64)))
+    del table
     # in one order whatever tasks ended first, so that fits agree
     for rows in groups.values():
-        rows.sort(key=lambda r: (r[0].tolist(), r[1].tolist()))
+        rows.sort(key=lambda r: (len(r[0]), r[0].tobytes(), r[1].tobytes()))
     weights, intercept = fit_nnpu(Sparse(groups[True], len(features)), Sparse(groups[False], len(features)), prior)
     return Classifier(features, weights, float(intercept))
 
