@@ -88,23 +88,26 @@ def _levels(n: int) -> int:
     return max(0, (n - 1).bit_length())
 
 
-def _fold(block: pa.Table) -> pa.Table:
-    block = block.sort_by("idx")
-    tree, n, base, first = (block.column(c)[0].as_py() for c in ("tree", "n", "level", "idx"))
-    levels = folded_levels(block.column("digest").to_pylist(), min(HEIGHT, _levels(n)))
-    rows = [(tree, base + up, (first >> up) + i, -(-n // (1 << up)), d) for up, level in enumerate(levels, 1) for i, d in enumerate(level)]
-    columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
-    types = [pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.string()]
-    return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["tree", "level", "idx", "n", "digest"])
+def _fold(height: int):
+    def run(block: pa.Table) -> pa.Table:
+        block = block.sort_by("idx")
+        tree, n, base, first = (block.column(c)[0].as_py() for c in ("tree", "n", "level", "idx"))
+        levels = folded_levels(block.column("digest").to_pylist(), min(height, _levels(n)))
+        rows = [(tree, base + up, (first >> up) + i, -(-n // (1 << up)), d) for up, level in enumerate(levels, 1) for i, d in enumerate(level)]
+        columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
+        types = [pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.string()]
+        return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["tree", "level", "idx", "n", "digest"])
+
+    return run
 
 
-def nodes_of(leaves: DataFrame) -> DataFrame:
+def nodes_of(leaves: DataFrame, height: int = HEIGHT) -> DataFrame:
     """All nodes (tree, level, idx, n: nodes of that level, digest) above and with the leaves (tree, idx, n, digest)."""
     now = leaves.select("tree", F.lit(0).alias("level"), "idx", "n", "digest")
     every, base = now, 0
     while now.where("n > 1").limit(1).count():
-        now = materialise(now.where("n > 1").groupBy("tree", F.shiftright("idx", HEIGHT).alias("block")).applyInArrow(_fold, _NODE), "merkle-nodes")
-        every, base = every.unionByName(now), base + HEIGHT
+        now = materialise(now.where("n > 1").groupBy("tree", F.shiftright("idx", height).alias("block")).applyInArrow(_fold(height), _NODE), "merkle-nodes")
+        every, base = every.unionByName(now), base + height
         now = now.where(F.col("level") == base)
     return every
 
@@ -117,14 +120,15 @@ class Manifest:
     nodes: DataFrame
     subroots: DataFrame
     top: DataFrame
+    height: int
 
 
-def build(docs: DataFrame) -> Manifest:
+def build(docs: DataFrame, height: int = HEIGHT) -> Manifest:
     leaves = materialise(placed(leaves_of(docs), ["doc_id", "leaf"]), "merkle-leaves")
-    nodes = nodes_of(leaves.withColumnRenamed("leaf", "digest"))
+    nodes = nodes_of(leaves.withColumnRenamed("leaf", "digest"), height)
     roots = nodes.where("n = 1").select(F.lit("top").alias("tree"), F.col("tree").alias("name"), F.col("digest"))
     subroots = materialise(placed(roots, ["name"]), "merkle-subroots")
-    return Manifest(leaves, nodes, subroots, nodes_of(subroots))
+    return Manifest(leaves, nodes, subroots, nodes_of(subroots, height), height)
 
 
 def missing(idx: np.ndarray, n: int) -> list[tuple[int, np.ndarray]]:
@@ -140,21 +144,19 @@ def missing(idx: np.ndarray, n: int) -> list[tuple[int, np.ndarray]]:
 
 
 def _coordinates(part: pa.Table) -> pa.Table:
-    tree, n = part.column("tree")[0].as_py(), part.column("n")[0].as_py()
-    idx = np.unique(part.column("idx").to_numpy())
-    need = missing(idx, n)
+    tree, n, block = (part.column(c)[0].as_py() for c in ("tree", "n", "block"))
+    need = missing(np.unique(part.column("idx").to_numpy()), n)
     at = np.concatenate([np.zeros(0, dtype=np.int64), *[p for _level, p in need]])
     levels = np.concatenate([np.zeros(0, dtype=np.int32), *[np.full(len(p), level, dtype=np.int32) for level, p in need]])
     k = len(at)
-    block = int(idx[0]) >> HEIGHT
     return pa.Table.from_arrays(
         [pa.array([tree] * k, pa.string()), pa.array([block] * k, pa.int64()), pa.array(levels, pa.int32()), pa.array(at, pa.int64())], names=["tree", "block", "level", "idx"]
     )
 
 
-def fetched(wanted: DataFrame, nodes: DataFrame) -> DataFrame:
+def fetched(wanted: DataFrame, nodes: DataFrame, height: int = HEIGHT) -> DataFrame:
     """(tree, block, level, idx, digest): the nodes that each leaf partition of ``wanted`` (tree, idx, n) lacks."""
-    parts = wanted.select("tree", "idx", "n", F.shiftright("idx", HEIGHT).alias("block")).groupBy("tree", "block")
+    parts = wanted.select("tree", "idx", "n", F.shiftright("idx", height).alias("block")).groupBy("tree", "block")
     need = parts.applyInArrow(_coordinates, "tree string, block long, level int, idx long")
     return need.join(nodes.select("tree", "level", "idx", "digest"), ["tree", "level", "idx"]).select("tree", "block", "level", "idx", "digest")
 
@@ -239,12 +241,12 @@ def _ways(top: pa.Table, nodes: pa.Table) -> pa.Table:
 
 def prove(manifest: Manifest, wanted: DataFrame | None = None) -> DataFrame:
     """Proofs of ``wanted``, rows of ``manifest.leaves`` (all of them by default): ``_PROOF``."""
-    leaves = manifest.leaves if wanted is None else wanted
-    top = manifest.subroots.withColumn("block", F.shiftright("idx", HEIGHT))
-    top_nodes = fetched(manifest.subroots, manifest.top)
+    leaves, height = manifest.leaves if wanted is None else wanted, manifest.height
+    top = manifest.subroots.withColumn("block", F.shiftright("idx", height))
+    top_nodes = fetched(manifest.subroots, manifest.top, height)
     ways = top.groupBy("tree", "block").cogroup(top_nodes.groupBy("tree", "block")).applyInArrow(_ways, "tree string, kind string, level int, idx long, digest string")
     ways = materialise(ways, "merkle-ways")
-    leaves = leaves.withColumn("block", F.shiftright("idx", HEIGHT))
+    leaves = leaves.withColumn("block", F.shiftright("idx", height))
     blocks = leaves.select("tree", "block").distinct()
-    nodes = fetched(leaves, manifest.nodes).withColumn("kind", F.lit("node")).unionByName(blocks.join(ways, "tree"))
+    nodes = fetched(leaves, manifest.nodes, height).withColumn("kind", F.lit("node")).unionByName(blocks.join(ways, "tree"))
     return leaves.groupBy("tree", "block").cogroup(nodes.groupBy("tree", "block")).applyInArrow(_expand, _PROOF)
