@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ["tables", "checks", "profile", "features", "scores", "models", "streams", "watch"]
+MODULES = ["tables", "checks", "profile", "features", "scores", "models", "streams", "watch", "storage"]
 
 
 def load_all():

@@ -12,7 +12,9 @@ from riskengine.operators import prep
 from riskengine.operators import quality as V
 from riskengine.sources import adapter as A
 
-NUM = ["Amount", "time_s", "V1", "V2", "V14", "V17"]
+NUM = [*S.V_COLS, "Amount", "time_s"]
+#: the columns of the input contract
+RAW_COLS = [*NUM, "Class"]
 
 
 def each(cols, template, sep=" UNION ALL "):
@@ -74,13 +76,13 @@ def _(spark, sf):
     "v5_null_counts",
     f"WITH {Q.DIRTY} "
     + each(
-        ["Amount", "V1", "V28"],
+        RAW_COLS,
         """SELECT '{c}' AS "column", count(*) FILTER ({c} IS NULL OR isnan({c})) AS missing,
  round(count(*) FILTER ({c} IS NULL OR isnan({c})) / count(*) * 100, 6) AS missing_pct FROM dirty""",
     ),
 )
 def _(spark, sf):
-    out = V.null_counts(A.dirty(spark, sf), ["Amount", "V1", "V28"])
+    out = V.null_counts(A.dirty(spark, sf), RAW_COLS)
     return out.withColumn("missing_pct", F.round("missing_pct", 6))
 
 
@@ -185,13 +187,13 @@ def _(spark, sf):
     "v12_cardinality",
     f"WITH {Q.TXN} "
     + each(
-        ["txn_id", "card_id", "Amount", "Class", "V1"],
+        ["txn_id", "card_id", *RAW_COLS],
         """SELECT '{c}' AS "column", count(DISTINCT {c}) AS unique_values, round(count(DISTINCT {c}) / count(*), 6) AS cardinality_ratio,
  count(DISTINCT {c}) > 50 AS is_high_cardinality, count(DISTINCT {c}) / count(*) > 0.9 AS is_potential_id FROM txn""",
     ),
 )
 def _(spark, sf):
-    out = V.cardinality(A.txn(spark, sf), ["txn_id", "card_id", "Amount", "Class", "V1"])
+    out = V.cardinality(A.txn(spark, sf), ["txn_id", "card_id", *RAW_COLS])
     return out.withColumn("cardinality_ratio", F.round("cardinality_ratio", 6))
 
 
@@ -258,7 +260,7 @@ def _(spark, sf):
 
 @query("v16_normality")
 def _(spark, sf):
-    return V.normality(A.txn(spark, sf), [*S.V_COLS, "Amount", "time_s"])
+    return V.normality(A.txn(spark, sf), NUM)
 
 
 @query(

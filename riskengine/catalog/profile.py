@@ -47,14 +47,14 @@ def _(spark, sf):
     "a13_descriptive_statistics",
     f"WITH {Q.TXN}, x AS (SELECT *, time_s / 3600 AS hours FROM txn) "
     + each(
-        ["Amount", "hours", "V1", "V2"],
+        ["Amount", "hours", *V_COLS],
         """SELECT '{c}' AS "column", count({c}) AS count, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std, round(CAST(min({c}) AS DOUBLE), 6) AS min,
  round(quantile_cont({c}, 0.25), 6) AS q25, round(quantile_cont({c}, 0.5), 6) AS q50, round(quantile_cont({c}, 0.75), 6) AS q75,
  round(CAST(max({c}) AS DOUBLE), 6) AS max, round(var_samp({c}), 4) AS variance, round(CAST(max({c}) - min({c}) AS DOUBLE), 6) AS range FROM x""",
     ),
 )
 def _(spark, sf):
-    out = D.descriptive(A.txn(spark, sf).withColumn("hours", F.col("time_s") / 3600), ["Amount", "hours", "V1", "V2"])
+    out = D.descriptive(A.txn(spark, sf).withColumn("hours", F.col("time_s") / 3600), ["Amount", "hours", *V_COLS])
     return rounded(out, ["mean", "std", "min", "q25", "q50", "q75", "max", "range"]).withColumn(
         "variance", F.round("variance", 4)
     )
@@ -96,7 +96,7 @@ def _(spark, sf):
     return rounded(out.select("column", "correlation"), ["correlation"])
 
 
-_MATRIX = ["Class", "Amount", "V1", "V3", "V4", "V7", "V10", "V12", "V14", "V17"]
+_MATRIX = ["Class", "Amount", "time_s", *V_COLS]
 
 
 @query(

@@ -12,8 +12,9 @@ from riskengine.catalog.registry import query
 from riskengine.catalog.scores import CURVE
 from riskengine.operators import metrics as M
 from riskengine.operators import views as V
+from riskengine.session import scratch_path
 from riskengine.sources import adapter as A
-from riskengine.sources import readers
+from riskengine.sources import readers, sinks
 
 AS_OF = "2024-01-31 00:00:00"
 
@@ -347,6 +348,17 @@ def _(spark, sf):
     return V.upsert_feedback(stored, new)
 
 
+@query("q1_stored_upsert", f"WITH {Q.AUDIT} SELECT * FROM ({_LATEST.format('feedback_log')})")
+def _(spark, sf):
+    """The corrections merged into a stored table of first reports, twice: the second time changes nothing."""
+    log = A.feedback_log(spark, sf)
+    path = scratch_path(spark, "ground-truth")
+    sinks.create_upsert_table(log.where(F.col("notes").isNull()), path, ["transaction_id"])
+    for _turn in range(2):
+        sinks.upsert(log.where(F.col("notes").isNotNull()), path, ["transaction_id"], ["reported_at", "feedback_id"])
+    return sinks.read_upsert_table(spark, path)
+
+
 @query(
     "w10_latest_per_key",
     f"""WITH {Q.LOG} SELECT card_id, max_by(txn_id, (ts, txn_id)) AS txn_id, max_by(Amount, (ts, txn_id)) AS Amount,
@@ -460,22 +472,18 @@ def _(spark, sf):
 
 # ---- baseline against current ----
 
-_HALVES = f"""WITH {Q.SCORED}, c AS (SELECT model_name, ts >= TIMESTAMP '2024-01-16' AS late,
-  count(*) FILTER (p >= 0.5 AND label = 0) / count(*) FILTER (label = 0) AS fpr, count(*) FILTER (p >= 0.5 AND label = 1) / count(*) FILTER (p >= 0.5) AS prec
- FROM scored GROUP BY ALL), r AS (SELECT b.model_name, b.prec AS baseline_pr_auc, n.prec AS current_pr_auc, b.fpr AS baseline_fpr,
-  n.fpr AS current_fpr, n.fpr / b.fpr - 1 AS f, 1 - n.prec / b.prec AS p FROM c b JOIN c n USING (model_name) WHERE NOT b.late AND n.late)"""
+_HALVES = f"""WITH {Q.SCORED}, part AS (SELECT model_name, p, label, ts >= TIMESTAMP '2024-01-16' AS late FROM scored), {Q.areas('part', 'model_name, late', 'c')},
+ r AS (SELECT b.model_name, b.pr_auc AS baseline_pr_auc, n.pr_auc AS current_pr_auc, b.fp / (b.fp + b.tn) AS baseline_fpr, n.fp / (n.fp + n.tn) AS current_fpr,
+  n.fp / (n.fp + n.tn) / (b.fp / (b.fp + b.tn)) - 1 AS f, 1 - n.pr_auc / b.pr_auc AS p FROM c b JOIN c n USING (model_name) WHERE NOT b.late AND n.late)"""
 
 
 def halves(spark, sf):
-    """Two periods of the score log; precision stands in for the area, which keeps the
-    SQL side short."""
+    """PR area and false positive rate of two periods of the score log."""
     s = A.scored(spark, sf)
     split = F.expr("TIMESTAMP_NTZ'2024-01-16 00:00:00'")
 
     def figures(rows):
-        return M.rates(M.confusion_matrix(rows), None).select(
-            "model_name", F.col("precision").alias("pr_auc"), "false_positive_rate"
-        )
+        return M.evaluate(rows, digits=None).select("model_name", "pr_auc", "false_positive_rate")
 
     return figures(s.where(F.col("ts") < split)), figures(s.where(F.col("ts") >= split))
 

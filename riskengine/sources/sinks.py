@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from riskengine import schema as S
+from riskengine.operators.prep import latest_per_key
 from riskengine.operators.views import drift_rows, evaluation_rows
+from riskengine.session import scratch_path
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -115,3 +119,55 @@ def prediction_log(scored: DataFrame, threshold: float, model_name: str) -> Data
         F.lit(model_name).alias("model_name"),
     )
 
+
+
+# ---- a stored table with upserts ----
+
+#: the partition column of an upsert table
+PART = "_part"
+
+
+def _placed(df: DataFrame, keys: Sequence[str], parts: int) -> DataFrame:
+    return df.withColumn(PART, F.pmod(F.xxhash64(*keys), F.lit(parts)).cast("int"))
+
+
+def create_upsert_table(df: DataFrame, path: str, keys: Sequence[str], parts: int = 32) -> None:
+    """Store rows in ``parts`` folders by a hash of their key, so that a merge touches few of them. Rows of one key are expected
+    once; ``upsert`` settles those that are not, in the folders it touches. The number of folders is part of the table."""
+    if PART in df.columns:
+        raise ValueError(f"'{PART}' is the table's own column")
+    placed = _placed(df, keys, parts)
+    placed.repartition(PART).write.partitionBy(PART).parquet(path)
+    # a table that has no rows yet keeps its schema and number of folders as well
+    df.sparkSession.createDataFrame([(parts, df.schema.json())], "parts int, columns string").coalesce(1).write.json(f"{path}/_table")
+
+
+def _table(spark: SparkSession, path: str):
+    parts, columns = spark.read.schema("parts int, columns string").json(f"{path}/_table").first()
+    return parts, StructType.fromJson(json.loads(columns))
+
+
+def read_upsert_table(spark: SparkSession, path: str) -> DataFrame:
+    _parts, columns = _table(spark, path)
+    return spark.read.schema(StructType([*columns.fields, StructField(PART, IntegerType())])).parquet(path).drop(PART)
+
+
+def upsert(df: DataFrame, path: str, keys: Sequence[str], order: Sequence[str]) -> list[int]:
+    """Merge rows into the table at ``path``: of all rows of a key, stored and new, the largest by ``order`` stays. Only folders that
+    hold a key of ``df`` are read and rewritten, by a dynamic partition overwrite from a staged copy; other files are not touched.
+    Merging the same rows again leaves the same table. Returns the folders rewritten."""
+    spark = df.sparkSession
+    parts, columns = _table(spark, path)
+    new = _placed(df.select(*columns.names), keys, parts)
+    # at most as many as the table has folders
+    touched = sorted(r[0] for r in new.select(PART).distinct().collect())
+    if not touched:
+        return []
+    stored = spark.read.schema(StructType([*columns.fields, StructField(PART, IntegerType())])).parquet(path).where(F.col(PART).isin(touched))
+    merged = latest_per_key(stored.unionByName(new), [PART, *keys], list(order)).select(*columns.names, PART)
+    staged = scratch_path(spark, "upsert")
+    merged.write.parquet(staged)
+    # the staged rows, not the folders that are about to be replaced
+    rows = spark.read.schema(merged.schema).parquet(staged)
+    rows.repartition(PART).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PART).parquet(path)
+    return touched
