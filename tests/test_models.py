@@ -57,16 +57,37 @@ def test_smote_leaves_hold_many_equal_rows(spark):
     assert out.count() == 900 and out.where(F.size("nb") == 0).count() == 0
 
 
-@pytest.mark.parametrize("n,leaf_rows", [(400, 400), (800, 200), (1600, 200)])
-def test_smote_recall_of_the_exact_neighbours(spark, n, leaf_rows):
-    df = runs.materialise(spark.range(n).select(F.col("id").alias("txn_id"), F.array(*[F.randn(k) for k in range(6)]).alias("x")), "cloud")
-    rows = L.minority_neighbours(df, "txn_id", n, 5, leaf_rows=leaf_rows).collect()
+def recall(rows, k=5):
     x = np.array([r.x for r in rows])
     hits = 0
     for i, r in enumerate(rows):
-        d = np.sort(np.delete(np.linalg.norm(x - x[i], axis=1), i))[:5]
+        d = np.sort(np.delete(np.linalg.norm(x - x[i], axis=1), i))[:k]
         hits += (np.linalg.norm(np.array(r.nb) - x[i], axis=1) <= d[-1] + 1e-9).sum()
-    assert hits / (5 * n) >= (1.0 if n <= leaf_rows else 0.8)
+    return hits / (k * len(rows))
+
+
+@pytest.mark.parametrize("n,leaf_rows", [(400, 400), (3000, 200)])
+def test_smote_recall_of_the_exact_neighbours(spark, n, leaf_rows):
+    """Beyond one leaf: a hundred and fifty cells of twenty rows, sixteen of them searched."""
+    df = runs.materialise(spark.range(n).select(F.col("id").alias("txn_id"), F.array(*[F.randn(k) for k in range(6)]).alias("x")), "cloud")
+    rows = L.minority_neighbours(df, "txn_id", n, 5, leaf_rows=leaf_rows, cell_rows=20).collect()
+    assert recall(rows) >= (1.0 if n <= leaf_rows else 0.9)
+
+
+def test_smote_recall_on_the_log(spark):
+    """The minority of the registered query in cells of ten rows."""
+    from riskengine.catalog.models import INPUTS, training_rows
+
+    train, _test = training_rows(spark, "/root/testdata/sf0.01")
+    minority = runs.materialise(train.where("Class = 1").select("txn_id", F.array(*INPUTS).alias("x")), "minority")
+    rows = L.minority_neighbours(minority, "txn_id", minority.count(), 5, leaf_rows=100, cell_rows=10).collect()
+    assert len(rows) > 1000 and recall(rows) >= 0.9
+
+
+def test_smote_plan_does_not_grow(spark):
+    rows = spark.range(50).select(F.col("id").alias("txn_id"), F.array(F.rand(1), F.rand(2)).alias("x"))
+    sizes = {L.minority_neighbours(rows, "txn_id", n, 5)._jdf.queryExecution().analyzed().treeString().count("\n") for n in (10_000, 1_000_000_000)}
+    assert len(sizes) == 1
 
 
 def test_smote_k():
@@ -100,10 +121,33 @@ def test_models_find_the_signal(planted, name, tmp_path):
 
 
 def test_cross_validation(planted):
-    folds = L.cross_validate("decision_tree", planted, ["a", "b"])
-    out = {r.metric: r for r in M.fold_summary(folds).collect()}
-    assert len(out) == 5 and all(len(r.folds) == 3 for r in out.values())
-    assert out["roc_auc"].mean == pytest.approx(np.mean(out["roc_auc"].folds), abs=1e-4)
+    folds = L.cross_validate(["decision_tree", "naive_bayes"], planted, ["a", "b"])
+    assert folds.count() == 2 * 3 * 5
+    out = {(r.model_name, r.metric): r for r in M.fold_summary(folds).collect()}
+    assert len(out) == 10 and all(len(r.folds) == 3 for r in out.values())
+    one = out["decision_tree", "roc_auc"]
+    assert one.mean == pytest.approx(np.mean(one.folds), abs=1e-4)
+    # a fold's figures are those of a fit on the other folds
+    folded = L.stratified_folds(planted, 3)
+    model = L.fit("decision_tree", folded.where("fold <> 1"), ["a", "b"])
+    alone = M.ranking_metrics(L.score(model, folded.where("fold = 1"), "x"), digits=4).first()
+    assert one.folds[1] == pytest.approx(alone.roc_auc, abs=1e-4)
+
+
+def test_side_by_side_raises_and_keeps_order(spark):
+    assert L.side_by_side([lambda i=i: i for i in range(20)], spark) == list(range(20))
+    with pytest.raises(ZeroDivisionError):
+        L.side_by_side([lambda: 1 // 0], spark)
+
+
+def test_network_stops_early(planted):
+    rows, _n = L.balanced_rows("mlp", planted, ["a", "b"])
+    model, history = L.fit_mlp(rows, ["a", "b"], iterations=2, patience=2)
+    losses = [loss for _turn, loss in history]
+    assert [t for t, _loss in history] == list(range(1, len(history) + 1)) and len(history) < 100
+    best = min(range(len(losses)), key=losses.__getitem__)
+    assert len(losses) - 1 - best <= 2
+    assert M.ranking_metrics(L.score(model, planted, "mlp")).first().average_precision > 0.5
 
 
 def test_forest_ranks_far_rows_first(spark):

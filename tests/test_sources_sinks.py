@@ -107,3 +107,43 @@ def test_reports(spark, tmp_path):
     files = [f for f in os.listdir(tmp_path / "r") if f.endswith(".csv")]
     assert len(files) == 1
     assert (tmp_path / "r" / files[0]).read_text().splitlines() == ["feature,r", "y,-0.5", "x,0.1"]
+
+
+def files_of(path):
+    return {os.path.join(d, n): os.path.getmtime(os.path.join(d, n)) for d, _dirs, names in os.walk(path) for n in names if n.endswith(".parquet")}
+
+
+UPSERT = "id string, at long, rid string, label int"
+
+
+def test_upsert_rewrites_touched_folders_only(spark, tmp_path):
+    path = str(tmp_path / "t")
+    stored = [(f"k{i}", 10, "a", 0) for i in range(200)] + [(None, 10, "a", 0)]
+    K.create_upsert_table(spark.createDataFrame(stored, UPSERT), path, ["id"], parts=16)
+    before = files_of(path)
+    # newer, older, equal time with a larger id, a new key, two rows of one new key, a null key
+    new = [("k1", 20, "b", 1), ("k2", 5, "b", 1), ("k3", 10, "b", 1), ("fresh", 1, "x", 1), ("twice", 1, "x", 0), ("twice", 2, "x", 1), (None, 30, "z", 1)]
+    df = spark.createDataFrame(new, UPSERT)
+    touched = K.upsert(df, path, ["id"], ["at", "rid"])
+    want = {**{r[0]: r for r in stored}, "k1": new[0], "k3": new[2], "fresh": new[3], "twice": new[5], None: new[6]}
+    read = lambda: {r[0]: tuple(r) for r in K.read_upsert_table(spark, path).collect()}
+    assert read() == want and K.read_upsert_table(spark, path).count() == len(want)
+    left_alone = {f for f in before if int(f.split("_part=")[1].split("/")[0]) not in touched}
+    assert left_alone and 0 < len(touched) < 16
+    after = files_of(path)
+    assert all(after.get(f) == before[f] for f in left_alone)
+    # the same rows again
+    K.upsert(df, path, ["id"], ["at", "rid"])
+    assert read() == want
+    assert K.upsert(df.where("false"), path, ["id"], ["at", "rid"]) == []
+
+
+def test_upsert_into_an_empty_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.createDataFrame([("a", 1, "x", 0)], UPSERT)
+    K.create_upsert_table(rows.where("false"), path, ["id"])
+    assert K.read_upsert_table(spark, path).count() == 0
+    K.upsert(rows, path, ["id"], ["at", "rid"])
+    assert K.read_upsert_table(spark, path).collect() == rows.collect()
+    with pytest.raises(ValueError):
+        K.create_upsert_table(rows.withColumn("_part", F.lit(1)), str(tmp_path / "u"), ["id"])
