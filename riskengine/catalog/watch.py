@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from riskengine.catalog import sql as Q
-from riskengine.catalog.models import INPUTS, SPLIT
+from riskengine.catalog.models import INPUTS, training_rows
 from riskengine.catalog.registry import query
+from riskengine.catalog.streams import event_stream
 from riskengine.catalog.tables import DAILY, audit, rounded
 from riskengine.functions import features as X
-from riskengine.operators import alarms, asof, prep, slices, stability, timefolds
+from riskengine.operators import alarms, anomaly, asof, prep, profiling, slices, stability, timefolds
 from riskengine.operators import metrics as M
 from riskengine.operators import models as L
 from riskengine.operators import views as W
@@ -257,3 +259,80 @@ def _(spark, sf):
     split = F.expr("TIMESTAMP_NTZ'2024-01-16 00:00:00'")
     sides = [M.evaluate(rows.where(c), digits=None) for c in (F.col("ts") < split, F.col("ts") >= split)]
     return rounded(alarms.promotion_gate(*sides, most_fpr=0.4), ["champion_pr_auc", "challenger_pr_auc", "challenger_fpr", "gain"])
+
+
+# ---- what holds of any engine's result, for operators whose values no SQL gives ----
+
+
+@query("p19_sample_facts", f"WITH {Q.LOG} SELECT least(5000, count(*)) AS rows, least(5000, count(*)) AS keys, least(5000, count(*)) AS rows_of_the_log, true AS same_again FROM log")
+def _(spark, sf):
+    rows = A.log(spark, sf).select("txn_id", "Amount", "time_s")
+    first, again = prep.hash_sample(rows, 5000), prep.hash_sample(rows.repartition(7), 5000)
+    known = first.join(rows, ["txn_id", "Amount", "time_s"], "left_semi").agg(F.count(F.lit(1)).alias("rows_of_the_log"))
+    same = first.join(again, "txn_id", "left_anti").agg((F.count(F.lit(1)) == 0).alias("same_again"))
+    # one row each
+    return first.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("txn_id").alias("keys")).crossJoin(known).crossJoin(same)
+
+
+_N = f"WITH {Q.LOG} SELECT count(*) AS rows, count(DISTINCT txn_id) AS keys"
+
+
+@query("a17_component_facts", f"{_N}, true AS are_centred, true AS first_is_wider, true AS are_uncorrelated, true AS share_agrees FROM log")
+def _(spark, sf):
+    """Two components are centred, ordered by variance and uncorrelated, and their variances are the share they are said to explain."""
+    projected, ratios = profiling.two_components(A.txn(spark, sf), V_COLS, ["txn_id", "Class"])
+    xy = vector_to_array("pc")
+    x, y = xy[0], xy[1]
+    rows = projected.select("txn_id", x.alias("x"), y.alias("y"))
+    wide = (F.var_samp("x") + F.var_samp("y")) / len(V_COLS)
+    return rows.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_distinct("txn_id").alias("keys"),
+        ((F.abs(F.avg("x")) < 1e-6) & (F.abs(F.avg("y")) < 1e-6)).alias("are_centred"),
+        (F.var_samp("x") >= F.var_samp("y")).alias("first_is_wider"),
+        (F.abs(F.corr("x", "y")) < 1e-6).alias("are_uncorrelated"),
+        (F.abs(wide - sum(ratios)) < 1e-6).alias("share_agrees"),
+    )
+
+
+@query("m16_reconstruction_facts", f"{_N}, true AS is_no_length, true AS more_components_err_less, true AS all_components_err_nothing FROM log")
+def _(spark, sf):
+    """Errors are not negative, fall row by row with more components, and vanish with all of them."""
+    rows = A.txn(spark, sf).select("txn_id", *V_COLS)
+    out = rows
+    for k in (4, 16, len(V_COLS)):
+        out = anomaly.reconstruction_error(out, anomaly.fit_reconstruction(rows, k=k), f"error_{k}")
+    return out.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_distinct("txn_id").alias("keys"),
+        (F.min("error_16") >= 0).alias("is_no_length"),
+        F.min(F.col("error_16") <= F.col("error_4") + 1e-9).alias("more_components_err_less"),
+        (F.max(f"error_{len(V_COLS)}") < 1e-9).alias("all_components_err_nothing"),
+    )
+
+
+@query("m17_embedding_facts", f"{_N}, 16 AS columns, true AS widths_fall FROM log")
+def _(spark, sf):
+    rows = A.txn(spark, sf).select("txn_id", *V_COLS)
+    out = anomaly.reconstruction_error(rows, anomaly.fit_reconstruction(rows), keep_embedding=True)
+    widths = F.array(*[F.var_samp(F.col("embedding")[i]) for i in range(16)])
+    return out.agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("txn_id").alias("keys"), F.max(F.size("embedding")).alias("columns"), (F.sort_array(widths, asc=False) == widths).alias("widths_fall")
+    )
+
+
+@query("r3_stream_scoring_facts", f"{_N}, round(sum(Amount), 4) AS amount, true AS are_probabilities, true AS decided_by_threshold FROM log")
+def _(spark, sf):
+    train, _test = training_rows(spark, sf)
+    model = L.fit("decision_tree", train, INPUTS)
+    out, ckpt = T.scratch_paths(spark, "scored", "ckpt")
+    stream = E.score_requests(A.with_components(event_stream(spark, sf), spark, sf), model)
+    E.run_available(stream.select("txn_id", "Amount", "fraud_probability", "is_fraud"), ckpt, path=out)
+    p = F.col("fraud_probability")
+    return spark.read.parquet(out).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_distinct("txn_id").alias("keys"),
+        F.round(F.sum("Amount"), 4).alias("amount"),
+        F.min((p >= 0) & (p <= 1)).alias("are_probabilities"),
+        F.min(F.col("is_fraud") == (p >= 0.5)).alias("decided_by_threshold"),
+    )
