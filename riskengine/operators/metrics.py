@@ -17,6 +17,7 @@ from riskengine import schema as S
 from riskengine.functions.columns import count_if, decision, ratio
 from riskengine.operators.quantiles import quantiles
 from riskengine.operators.ranking import rows_at_ranks, running_totals
+from riskengine.session import scratch_path
 
 RATES = ["precision", "recall", "f1_score", "specificity", "false_positive_rate", "false_negative_rate"]
 
@@ -193,7 +194,11 @@ def outcome_profile(
     fraud = scored.where(F.col("label") == 1).select(
         key, F.col("p").alias("probability"), F.when(decision("p", threshold), "caught").otherwise("missed").alias("outcome")
     )
-    rows = fraud.join(features.select(key, *cols), key)
+    # joined once, read for the row count, the medians and the figures
+    joined = fraud.join(features.select(key, *cols), key)
+    path = scratch_path(scored.sparkSession, "outcomes")
+    joined.write.parquet(path)
+    rows = scored.sparkSession.read.schema(joined.schema).parquet(path)
     names = ["probability", *cols]
     med = quantiles(rows, names, [0.5], by="outcome")
     entries = []

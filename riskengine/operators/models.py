@@ -285,6 +285,10 @@ def fit(
     """Balance the training rows the way the model needs it, then fit on all of them. ``ready``: what
     ``balanced_rows`` gave, where several models share it."""
     rows, n = ready or balanced_rows(name, train, cols, label, key)
+    context = rows.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        # boosting cuts its lineage every ten rounds where there is a folder for it; else every round's jobs grow
+        context.setCheckpointDir(scratch_path(rows.sparkSession, "lineage"))
     if name == "mlp":
         return fit_mlp(rows, cols, label, effort)[0]
     return make_model(name, cols, n, label, effort).fit(rows)
