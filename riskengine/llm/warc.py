@@ -9,6 +9,12 @@ Reader: members and records are checked (gzip CRC, version line, length, block a
 a failed check it searches for the next member or version line whose record is valid, goes on from there, and reports the bytes
 between as a quarantined gap with the reason.
 
+A member may hold many records (an archive compressed as a whole). It is inflated in a stream and its bytes
+are walked like a file's: after a failed record they are searched for the next version line. Such
+records and gaps carry ``inner_offset``, their place in the inflated bytes; ``offset`` is then the member's and
+``length`` counts inflated bytes. Where such a member breaks off, the records before the damage are kept, but for the last
+one, which only the member's end confirms; the gap then starts at most ``BACK`` bytes before the first byte not known to be sound.
+
 Defined results: a null html is an empty payload. A null ``page_id`` comes back as null; where all ids of
 equal payloads are null, each is a response. Repeated rows with the largest id are all responses. URLs lose line
 breaks. An empty table gives an empty table; other columns are ignored.
@@ -21,6 +27,7 @@ import hashlib
 import re
 import uuid
 import zlib
+from collections import deque
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -33,6 +40,8 @@ from riskengine.session import scratch_path
 REVISIT_BYTES = 1000
 ARCHIVE_BYTES = 16 << 20
 READ_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 16
+BACK = 1024
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 VERSION = re.compile(rb"WARC/1\.[01]\r\n")
 MAGIC = b"\x1f\x8b\x08"
@@ -174,23 +183,54 @@ class _Input:
 
 
 class Damaged(Exception):
-    """A record or member that fails its checks."""
-
-
-def _inflate(source: _Input, at: int) -> tuple[bytes, int]:
-    """The gzip member at ``at`` and its end."""
-    unpack = zlib.decompressobj(31)
-    out, position = [], at
-    while not unpack.eof:
-        if not source.fill(position + 1):
-            raise Damaged("member is cut off")
-        chunk = source.data[position - source.start : position - source.start + READ_BYTES]
-        try:
-            out.append(unpack.decompress(chunk))
-        except zlib.error as bad:
-            raise Damaged("member does not inflate") from bad
-        position += len(chunk) - len(unpack.unused_data)
-    return b"".join(out), position
+    """A record or member that fails its checks; ``sound``: where its sound bytes end, if any records came of it."""
+
+    def __init__(self, reason: str, sound: int | None = None):
+        super().__init__(reason)
+        self.sound = sound
+
+
+class _Inflated:
+    """The inflated bytes of the gzip member at ``at``, read forward; ``broken`` tells why they ended early."""
+
+    def __init__(self, source: _Input, at: int):
+        self.source, self.at, self.end = source, at, at
+        self.unpack, self.tail, self.total, self.step = zlib.decompressobj(31), b"", 0, CHUNK_BYTES
+        self.broken: str | None = None
+        self.reached: deque[tuple[int, int]] = deque()  # inflated bytes, and the packed bytes that gave them
+
+    def read(self, most: int) -> bytes:
+        while not self.unpack.eof and not self.broken:
+            if not self.tail:
+                if not self.source.fill(self.end + 1):
+                    self.broken = "member is cut off"
+                    break
+                self.tail = self.source.data[self.end - self.source.start :][:CHUNK_BYTES]
+            before, piece = self.unpack.copy(), self.tail[: self.step]
+            try:
+                out = self.unpack.decompress(piece, most)
+            except zlib.error:
+                # a failed call loses what it has inflated so far: go up to the damage in smaller steps
+                if len(piece) == 1:
+                    self.broken = "member does not inflate"
+                    break
+                self.unpack, self.step = before, max(1, len(piece) // 8)
+                continue
+            left = self.unpack.unused_data if self.unpack.eof else self.unpack.unconsumed_tail
+            self.end += len(piece) - len(left)
+            self.tail = left + self.tail[self.step :]
+            self.total += len(out)
+            self.reached.append((self.total, self.end))
+            if out:
+                return out
+        return b""
+
+    def sound(self, upto: int) -> int:
+        """A position in the file before which all bytes are known to have given the first ``upto`` inflated ones."""
+        while len(self.reached) > 1 and self.reached[1][0] <= upto:
+            self.reached.popleft()
+        known = self.reached[0][1] if self.reached and self.reached[0][0] <= upto else 0
+        return max(self.at + 1, known - BACK)
 
 
 def parse_record(data: bytes) -> tuple[dict[str, str], bytes, int]:
@@ -249,6 +289,8 @@ def _plain(source: _Input, at: int) -> tuple[dict, int]:
     """The uncompressed record at ``at`` and its end."""
     source.fill(at + READ_BYTES)
     head = source.data[at - source.start : at - source.start + READ_BYTES]
+    if not VERSION.match(head):
+        raise Damaged("no version line")
     end = head.find(b"\r\n\r\n")
     size = re.search(rb"(?i)\r\ncontent-length:\s*(\d+)\r\n", head[: end + 2]) if end >= 0 else None
     if size is None:
@@ -259,49 +301,92 @@ def _plain(source: _Input, at: int) -> tuple[dict, int]:
     return _described(headers, block), at + length
 
 
-def _packed(source: _Input, at: int) -> tuple[dict, int]:
-    data, stop = _inflate(source, at)
-    headers, block, length = parse_record(data)
-    if length != len(data):
-        raise Damaged("more than one record in a member")
-    return _described(headers, block), stop
+def _packed(source: _Input, at: int) -> Iterator[dict]:
+    """Records and inner gaps of the member at ``at``; returns its end. A member without a valid record, or that
+    breaks off, is damaged."""
+    unpacked = _Inflated(source, at)
+    inner, here = _Input(unpacked), 0
+    held: list[dict] = []  # the last record found, after the gap before it
+    gap, why, sound = 0, None, None
+    while inner.fill(here + 1):
+        inner.drop(here)
+        try:
+            found, stop = _plain(inner, here)
+        except Damaged as bad:
+            why = why or str(bad)
+            here = inner.find(here + 1)
+            if here < 0:
+                break
+            continue
+        if held:
+            yield from held
+            sound = unpacked.sound(gap)
+            source.drop(sound)
+        held = [{"offset": at, "inner_offset": gap, "length": here - gap, "reason": why}] if gap < here else []
+        held.append(found | {"offset": at, "inner_offset": here, "length": stop - here, "reason": None})
+        gap, here, why = stop, stop, None
+    if unpacked.broken:
+        raise Damaged(unpacked.broken, sound)
+    if not held:
+        raise Damaged(why or "no version line")
+    if held[-1]["length"] == unpacked.total:
+        held[-1] |= {"inner_offset": None, "length": unpacked.end - at}
+    yield from held
+    if gap < unpacked.total:
+        yield {"offset": at, "inner_offset": gap, "length": unpacked.total - gap, "reason": why}
+    return unpacked.end
+
+
+def _single(source: _Input, at: int) -> Iterator[dict]:
+    """The uncompressed record at ``at``; returns its end."""
+    found, stop = _plain(source, at)
+    yield found | {"offset": at, "inner_offset": None, "length": stop - at, "reason": None}
+    return stop
+
+
+def _rows(source: _Input, at: int) -> Iterator[dict]:
+    if source.fill(at + 3) and source.data[at - source.start :][:3] == MAGIC:
+        return _packed(source, at)
+    if source.fill(at + 10) and VERSION.match(source.data[at - source.start :][:16]):
+        return _single(source, at)
+    raise Damaged("neither a member nor a version line")
 
 
 def salvage(handle) -> Iterator[dict]:
-    """Records and gaps of an open archive, in order: dicts with ``offset``, ``length``, ``reason`` (null for
-    records) and a record's fields."""
+    """Records and gaps of an open archive, in order: dicts with ``offset``, ``length``, ``inner_offset`` (null
+    outside shared members), ``reason`` (null for records) and a record's fields."""
     source, at = _Input(handle), 0
     gap, why = None, None
     while source.fill(at + 1):
         source.drop(at)
-        found, stop = None, at
         try:
-            if source.fill(at + 3) and source.data[at - source.start :][:3] == MAGIC:
-                found, stop = _packed(source, at)
-            elif source.fill(at + 10) and VERSION.match(source.data[at - source.start :][:16]):
-                found, stop = _plain(source, at)
-            else:
-                raise Damaged("neither a member nor a version line")
+            rows, stop = _rows(source, at), None
+            while stop is None:
+                try:
+                    row = next(rows)
+                except StopIteration as done:
+                    stop = done.value
+                    break
+                if gap is not None:
+                    yield {"offset": gap, "inner_offset": None, "length": at - gap, "reason": why}
+                    gap = None
+                yield row
+            at = stop
         except Damaged as bad:
             if gap is None:
-                gap, why = at, str(bad)
-            at = source.find(at + 1)
+                gap, why = bad.sound or at, str(bad)
+            at = source.find(max(at + 1, bad.sound or 0))
             if at < 0:
                 at = source.start + len(source.data)
                 break
-            continue
-        if gap is not None:
-            yield {"offset": gap, "length": at - gap, "reason": why}
-            gap = None
-        yield found | {"offset": at, "length": stop - at, "reason": None}
-        at = stop
     if gap is not None:
-        yield {"offset": gap, "length": at - gap, "reason": why}
+        yield {"offset": gap, "inner_offset": None, "length": at - gap, "reason": why}
 
 
 FIELDS = [
     ("path", pa.string()),
     ("offset", pa.int64()),
+    ("inner_offset", pa.int64()),
     ("length", pa.int64()),
     ("reason", pa.string()),
     ("page_id", pa.int64()),
@@ -312,7 +397,7 @@ FIELDS = [
     ("payload_digest", pa.string()),
     ("payload", pa.binary()),
 ]
-SCHEMA = "path string, offset long, length long, reason string, page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, payload binary"
+SCHEMA = "path string, offset long, inner_offset long, length long, reason string, page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, payload binary"
 
 
 def _reader(with_payload: bool):
@@ -350,5 +435,5 @@ def records(found: DataFrame) -> DataFrame:
 
 
 def quarantined(found: DataFrame) -> DataFrame:
-    """(path, offset, length, reason) of the byte stretches that hold no valid record."""
-    return found.where("reason is not null").select("path", "offset", "length", "reason")
+    """(path, offset, inner_offset, length, reason) of the byte stretches that hold no valid record."""
+    return found.where("reason is not null").select("path", "offset", "inner_offset", "length", "reason")

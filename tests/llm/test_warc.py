@@ -5,6 +5,8 @@ import random
 import zlib
 from collections import Counter
 
+import pytest
+
 from riskengine.llm import warc
 
 
@@ -113,6 +115,69 @@ def test_random_damage_never_invents_records():
         assert set(ids) <= good and len(ids) == len(set(ids)) and len(ids) >= 6
 
 
+def inner(data):
+    found = list(warc.salvage(io.BytesIO(data)))
+    return [f["page_id"] for f in found if f["reason"] is None], [f for f in found if f["reason"] is not None], found
+
+
+def test_archive_compressed_as_a_whole():
+    parts = archive(30)
+    whole = b"".join(parts)
+    ids, gaps, found = inner(gzip.compress(whole))
+    assert (ids, gaps) == (list(range(30)), [])
+    for f in found:
+        assert whole[f["inner_offset"] : f["inner_offset"] + f["length"]] == parts[f["page_id"]]
+    # two such members, a single one between them
+    ids, gaps, found = inner(gzip.compress(b"".join(parts[:9])) + warc.member(parts[9]) + gzip.compress(b"".join(parts[10:])))
+    assert (ids, gaps) == (list(range(30)), [])
+    assert [f["page_id"] for f in found if f["inner_offset"] is None] == [9]
+
+
+def test_failed_record_inside_a_member():
+    parts = archive(12)
+    parts[3] = parts[3].replace(b"<p>3</p>", b"<p>4</p>", 1)
+    parts[7] = parts[7].replace(b"WARC/1.1", b"WARC/9.1", 1)
+    ids, gaps, _found = inner(gzip.compress(b"junk" + b"".join(parts) + b"more junk"))
+    assert ids == [0, 1, 2, 4, 5, 6, 8, 9, 10, 11]
+    assert [g["length"] for g in gaps] == [4, len(parts[3]), len(parts[7]), 9]
+    assert all(g["offset"] == 0 and g["inner_offset"] is not None for g in gaps)
+
+
+@pytest.mark.parametrize("chunk", [64, 1 << 16])
+def test_member_that_breaks_off(chunk, monkeypatch):
+    monkeypatch.setattr(warc, "CHUNK_BYTES", chunk)
+    monkeypatch.setattr(warc, "READ_BYTES", 4096)
+    rng = random.Random(4)
+    noise = lambda i: bytes(rng.randrange(32, 127) for _ in range(3000 + i))
+    parts = [warc.record_bytes(i, "http://x", noise(i), None) for i in range(40)]
+    packed = gzip.compress(b"".join(parts[:30]))
+    after = b"".join(warc.member(p) for p in parts[30:])
+    # cut off: the records before stay, so do all later members
+    ids, gaps, _found = inner(packed[: len(packed) * 2 // 3] + after)
+    assert ids[-10:] == list(range(30, 40)) and ids[:-10] == list(range(len(ids) - 10)) and 18 <= len(ids) - 10 <= 20
+    assert len(gaps) == 1 and gaps[0]["offset"] + gaps[0]["length"] == len(packed) * 2 // 3
+    # a false checksum at the end: only the last record is unconfirmed
+    spoilt = packed[:-8] + bytes(4) + packed[-4:]
+    ids, gaps, _found = inner(spoilt + after)
+    assert ids == [*range(29), *range(30, 40)] and len(gaps) == 1
+
+
+def test_inflated_bytes_are_not_held_whole(monkeypatch):
+    monkeypatch.setattr(warc, "READ_BYTES", 4096)
+    most = 0
+    drop = warc._Input.drop
+
+    def watched(self, before):
+        nonlocal most
+        drop(self, before)
+        most = max(most, len(self.data))
+
+    monkeypatch.setattr(warc._Input, "drop", watched)
+    data = gzip.compress(b"".join(warc.record_bytes(i, "http://x", random.Random(i).randbytes(2000), None) for i in range(500)))
+    assert inner(data)[0] == list(range(500))
+    assert most < 200_000 < len(data)
+
+
 def test_members_are_standard_gzip():
     part = archive(2)[1]
     assert gzip.decompress(warc.member(part)) == part
