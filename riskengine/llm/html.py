@@ -7,7 +7,9 @@ subsequence, and lines that both have are deleted: what a site repeats is not th
 Differencing alone errs in two ways, so it works together with the page's own marks. Lines inside menus, headers,
 footers, sidebars, notices, adverts, forms, scripts, styles and comment sections go even where no neighbour has the same
 ones. Lines inside an ``article`` or ``main`` element stay even where a neighbour has the same ones (copies of
-articles and passages that several articles share). The alignment decides about all other lines; in a page that
+articles and passages that several articles share). Inside an article a name that an article's own section may
+have as well (``WEAK``, or any name given by an id alone) decides only together with the alignment: such lines go if the
+neighbour has them and is not itself a copy of the article. The alignment decides about all other lines; in a page that
 has an article, of those lines only a first-level heading can stay. Where deletion would leave nothing of a
 page without an article, the neighbour is taken for a copy and nothing is deleted.
 
@@ -52,27 +54,36 @@ NAMES = set(
     subscription signup sidebar menu nav navbar navigation breadcrumb breadcrumbs footer masthead share sharing social related recommended widget toolbar login pagination pager skip""".split()
 )
 READERS = {"comment", "comments", "commentlist", "disqus", "respond", "replies", "discussion"}
+#: Names that sections of an article have too.
+WEAK = set(
+    "alert banner consent discussion login menu navigation notice notices overlay pagination popup promotion recommended related replies respond sharing skip social subscription toolbar widget".split()
+)
+#: Elements that may be such sections; all others end too freely to be followed.
+SECTIONS = {"div", "section", "ul", "ol", "dl", "table", "details"}
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "alert", "alertdialog", "dialog", "menu", "menubar", "toolbar"}
 SPLIT = re.compile(r"[^a-zA-Z]+|(?<=[a-z])(?=[A-Z])")
-OPEN, ARTICLE, AROUND_IT, HEADING = 0, 1, 2, 3
+OPEN, ARTICLE, AROUND_IT, HEADING, DOUBTFUL = 0, 1, 2, 3, 4
 
 
-def _marks(tag: str, text: str) -> str | None:
-    """``around`` or ``readers`` if the element's attributes name such a part."""
+def _marks(tag: str, text: str, inside: bool = False) -> str | None:
+    """``around`` or ``readers`` if the element's attributes name such a part; ``doubtful`` if it stands
+    ``inside`` an article and its name may be that of a section."""
     if not text or tag in ("html", "body", "main"):
         return None
     found = {}
     for m in ATTRIBUTE.finditer(text):
         found.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
-    words = {w.lower() for w in SPLIT.split(f"{found.get('class', '')} {found.get('id', '')}") if w}
-    if words & READERS:
+    classes, words = ({w.lower() for w in SPLIT.split(x) if w} for x in (found.get("class", ""), f"{found.get('class', '')} {found.get('id', '')}"))
+    if words & (READERS - WEAK if inside else READERS):
         return "readers"
     if tag == "article":
         return None
     role = found.get("role", "").lower()
-    if words & NAMES or role in ROLES or "hidden" in found or found.get("aria-hidden", "").lower() == "true" or re.search(r"display\s*:\s*none", found.get("style", ""), re.I):
+    if role in ROLES or "hidden" in found or found.get("aria-hidden", "").lower() == "true" or re.search(r"display\s*:\s*none", found.get("style", ""), re.I):
         return "around"
-    return None
+    if inside and not classes & (NAMES - WEAK):
+        return "doubtful" if words & (NAMES | WEAK) else None
+    return "around" if words & NAMES else None
 
 
 def page_lines(page: str) -> list[tuple[int, str]]:
@@ -80,6 +91,7 @@ def page_lines(page: str) -> list[tuple[int, str]]:
     out: list[tuple[int, str]] = []
     text: list[str] = []
     skip: list | None = None  # tag, depth, kind of the surrounding part that is being read
+    doubt: list | None = None  # tag, depth of the doubtful section that is being read
     article = heading = 0
     at = 0
 
@@ -88,7 +100,7 @@ def page_lines(page: str) -> list[tuple[int, str]]:
             line = " ".join(references.unescape("".join(text)).split())
             text.clear()
             if line:
-                out.append((AROUND_IT if skip else ARTICLE if article else HEADING if heading else OPEN, line))
+                out.append((AROUND_IT if skip else DOUBTFUL if doubt else ARTICLE if article else HEADING if heading else OPEN, line))
 
     while m := MARKUP.search(page, at):
         if m.start() > at:
@@ -117,18 +129,32 @@ def page_lines(page: str) -> list[tuple[int, str]]:
                     skip = None
             continue
         if ending:
+            if doubt and tag == doubt[0]:
+                doubt[1] -= 1
+                doubt = doubt if doubt[1] else None
             if tag in ("article", "main") and article:
                 article -= 1
+                doubt = doubt if article else None
             elif tag == "h1":
                 heading = 0
             continue
         if tag in VOID or attributes.endswith("/"):
             continue
-        kind = _marks(tag, attributes) or ("around" if tag in AROUND and not (tag == "header" and article) else None)
+        kind = _marks(tag, attributes, article > 0)
+        if kind in (None, "doubtful") and tag in AROUND and not (tag == "header" and article):
+            kind = "around"
+        if kind == "doubtful":
+            if doubt is None and tag in SECTIONS:
+                doubt = [tag, 1]
+                continue
+            kind = None
         if kind:
             close()
             skip = [tag, 1, kind]
-        elif tag in ("article", "main"):
+            continue
+        if doubt and tag == doubt[0]:
+            doubt[1] += 1
+        if tag in ("article", "main"):
             article += 1
         elif tag == "h1":
             heading = 1
@@ -167,9 +193,10 @@ def chosen(parts: list[int], lines: list[str], shared: set[int]) -> str:
     stays = [k for k, p in enumerate(parts) if p == ARTICLE]
     if stays:
         # a heading above the article belongs to it, unless the neighbour has it as well
-        stays = [k for k, p in enumerate(parts) if p == ARTICLE or p == HEADING and k not in shared and k < stays[0]]
+        copy = shared.issuperset(stays)
+        stays = [k for k, p in enumerate(parts) if p == ARTICLE or p == HEADING and k not in shared and k < stays[0] or p == DOUBTFUL and (copy or k not in shared)]
     else:
-        free = [k for k, p in enumerate(parts) if p in (OPEN, HEADING)]
+        free = [k for k, p in enumerate(parts) if p in (OPEN, HEADING, DOUBTFUL)]
         stays = [k for k in free if k not in shared] or free
     return " ".join(lines[k] for k in stays)
 

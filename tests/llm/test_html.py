@@ -18,6 +18,20 @@ def test_article_only():
     assert text(page) == "A & B One two threefour x five six <i>"
 
 
+def test_sections_of_an_article():
+    """Names that a section may have decide only together with the alignment."""
+    page = '<article><h1>T</h1><section id="discussion"><h2>Discussion</h2><div>one</div><p>two</p></section><div id="market-share">three</div><div class="related"><p>Read more</p></div><p class="notice">four</p><aside>x</aside><div class="share">y</div><div id="comments">z</div></article>'
+    lines = html.page_lines(page)
+    parts, words = [p for p, _x in lines], [x for _p, x in lines]
+    pick = lambda shared: html.chosen(parts, words, {words.index(x) for x in shared})
+    assert pick([]) == "T Discussion one two three Read more four"
+    assert pick(["Read more", "four"]) == "T Discussion one two three four"
+    # the neighbour is a copy of the article
+    assert pick(["T", "Discussion", "one", "two", "three", "Read more", "four"]) == "T Discussion one two three Read more four"
+    # outside an article the names decide by themselves
+    assert text('<div class="related">Read more</div><article><p>a</article><section id="discussion"><p>b</section>') == "a"
+
+
 def test_unclosed_parts_and_odd_markup():
     assert text('<div class="ad">Buy now<article><p>kept</p></article>') == "kept"
     assert text('<article><p title="a > b">x</p><!-- <p>no</p> --><p>y</article>') == "x y"
