@@ -63,3 +63,20 @@ def test_single_row_and_empty_table(spark, empty):
     one = ordermin.fingerprints(spark.createDataFrame([(5, "abcdefghijkl")], "doc_id long, text string")).collect()
     assert [(r.n_chars, r.near_next) for r in one] == [(12, 1.0)]
     assert one[0].edited_sha256 == hashlib.sha256(b"abcdefghabcd").hexdigest()
+
+
+def test_rows_without_id_share_out(spark, monkeypatch):
+    """Ten thousand rows without an id stand in many slots, in the one order."""
+    monkeypatch.setattr(neighbours, "SLOT_BYTES", 4000)
+    rows = [(None, f"text number {i} of many") for i in range(10_000)] + [(i, f"text {i}") for i in range(300)] + [(9, f"nine {i}") for i in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    slots = neighbours.in_slots(docs)
+    sizes = [r["count"] for r in slots.where("seat = 0").groupBy("slot").count().collect()]
+    assert sum(sizes) == len(rows) and len(sizes) > 40 and max(sizes) < 1500
+    hashes = {(r.doc_id, r.text): r.th for r in slots.where("seat = 0").collect()}
+    order = sorted(rows, key=lambda r: (-r[0] if r[0] is not None else 1 << 63, hashes[r]))
+    want = Counter()
+    for k, (i, t) in enumerate(order):
+        third = len(t) // 3
+        want[(i, hashlib.sha256((t[: len(t) - third] + order[(k + 1) % len(order)][1][:third]).encode()).hexdigest())] += 1
+    assert Counter((r.doc_id, r.edited_sha256) for r in ordermin.fingerprints(docs).collect()) == want
