@@ -5,8 +5,10 @@ n-grams and contexts are sorted arrays of 64-bit hashes beside their log probabi
 is the mean over its characters, and the language with the least is chosen. Each distinct n-gram of a
 block of texts is looked up once by binary search.
 
-Learning uses at most about ``MAX_CHARS`` characters of labelled text per language (a documented bound:
-whole texts drawn by a hash of the id), of which a quarter serves for calibration: the score is a
+Learning uses at most about ``MAX_CHARS`` characters of labelled text per language and ``MOST_CHARS`` in all, shared
+evenly (documented bounds: whole texts drawn by a hash of the id). Every language that has a learnable text with
+a letter is learned, from one text at least. A quarter of the sample serves for calibration, but of a language with fewer than
+``SCARCE`` learnable texts all are learned from: the score is a
 logistic function of the lead over the second language and the length, and a text is marked as rejected if its cross-entropy is
 above what ``REJECT`` of the calibration texts of that language reach.
 
@@ -30,7 +32,8 @@ from riskengine.llm.textbytes import U, mix
 
 ORDER = 4
 MAX_CHARS = 4_000_000
-MAX_LANGUAGES = 256
+MOST_CHARS = 256_000_000
+SCARCE = 8
 REJECT = 0.999
 BLOCK = 1 << 17
 UNKNOWN = "und"
@@ -215,6 +218,10 @@ class Identifier:
             own = h[truth == name, k]
             if len(own):
                 self.limits[k] = np.quantile(own, REJECT)
+        # languages without calibration texts take the widest limit of the others
+        told = np.isfinite(self.limits)
+        if told.any():
+            self.limits[~told] = self.limits[told].max()
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
         """Languages, scores, and whether the text is unlike all that was learned."""
@@ -228,15 +235,21 @@ class Identifier:
         return names, np.where(known, score, 0.0), ~known | (h[np.arange(len(h)), best] > self.limits[best])
 
 
-def learn(docs: DataFrame, max_chars: int = MAX_CHARS) -> Identifier:
-    """Fit models and calibration on documents (doc_id, text, lang) that may be learned from."""
-    rows = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).where(learnable() & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.sum(F.length("text")).alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()}
-    if not sizes:
+def learn(docs: DataFrame, max_chars: int = MAX_CHARS, most_chars: int = MOST_CHARS) -> Identifier:
+    """Fit models and calibration on documents (doc_id, text, lang) that may be learned from. What is gathered
+    is bounded by ``most_chars`` and one text per language."""
+    rows = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).where(learnable() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    rows = rows.withColumn("draw", chance("doc_id", 1))
+    # one row per language; the text with the least draw is always learned from
+    sizes = materialise(rows.groupBy("lang").agg(F.sum(F.length("text")).alias("n"), F.count(F.lit(1)).alias("texts"), F.min("draw").alias("least")), "lang-sizes")
+    languages = sizes.count()
+    if not languages:
         return Identifier([], [])
-    share = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, max_chars / max(n, 1)))])
-    drawn = materialise(rows.withColumn("share", F.element_at(share, F.col("lang"))).where(chance("doc_id", 1) < F.col("share")).withColumn("fit", chance("doc_id", 2) < 0.75).select("doc_id", "lang", "text", "fit"), "lang-sample")
-    # bounded by max_chars per language
+    share = F.lit(float(min(max_chars, most_chars / languages))) / F.col("n")
+    first = F.col("draw") == F.col("least")
+    fit = first | (F.col("texts") < SCARCE) | (chance("doc_id", 2) < 0.75)
+    drawn = materialise(rows.join(sizes, "lang").where(first | (F.col("draw") < share)).select("doc_id", "lang", "text", fit.alias("fit")), "lang-sample")
+    # bounded by most_chars
     table = drawn.where("fit").select("lang", "text").mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
     langs = np.array(table["lang"].to_pylist(), dtype=object)
     packed, counts = table["gram"].to_numpy().view(np.uint64), table["n"].to_numpy()

@@ -48,7 +48,10 @@ def test_model_equals_definition_and_sums_to_one():
     got = model.log_p(np.array([pack(g) for g in some], dtype=np.uint64))
     assert np.exp(got) == pytest.approx([p(g) for g in some])
     for h in kinds[:20]:
-        assert sum(p((*h[:-1], w)) for w in {g[-1] for g in counts}) + 1 / (alphabet + 1) * 0 == pytest.approx(1, abs=0.2)
+        # all symbols and one that was never seen
+        every = [(*h[:-1], w) for w in [*{g[-1] for g in counts}, ord("z")]]
+        assert sum(map(p, every)) == pytest.approx(1)
+        assert np.exp(model.log_p(np.array([pack(g) for g in every], dtype=np.uint64))).sum() == pytest.approx(1)
 
 
 def test_symbols():
@@ -81,3 +84,16 @@ def test_edge_cases(spark, model, clashing, empty):
     assert {r.lang_pred for r in langid.identify(df, nothing).collect()} == {"und"}
     assert langid.learn(clashing).names == ["en"]
     assert {r.lang_pred for r in langid.identify(df.where("doc_id = 4"), langid.learn(clashing)).collect()} == {"en"}
+
+
+def test_every_language_is_learned(spark):
+    """Three hundred languages with one learnable text each, and a large one under a tight bound."""
+    ids = [i for i in range(1, 2000) if zlib.crc32(str(i).encode()) % 4 != 2]
+    rng = random.Random(3)
+    word = lambda k: "".join(chr(0x4E00 + 40 * k + rng.randrange(8)) for _ in range(5))
+    rows = [(i, " ".join(word(k) for _ in range(20)), f"l{k:03d}") for k, i in enumerate(ids[:300])]
+    rows += [(i, "the of and to in " * 50, "big") for i in ids[300:400]] + [(ids[400], "12 34", "digits")]
+    model = langid.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"), most_chars=30_000)
+    assert model.names == sorted({r[2] for r in rows} - {"digits"})
+    got, _score, _no = model.predict([r[1] for r in rows[:350]])
+    assert got == [r[2] for r in rows[:350]]
