@@ -11,7 +11,8 @@ source, the bin at the edge is found from these sums, and only its rows are orde
 
 Defined results: a null text has size 0, a document of size 0 is never drawn beyond its certain copies and
 counts no words; a null source is a source of its own, last in order. A row without an id is
-named by its text. Rows equal in id and size have one ratio and are drawn together. An empty table gives an empty table. Other columns, also ones named like those
+named by its text. Repeated rows have one ratio and follow each other: the last ones of a group of equal
+rows may be left out, so that the sum stays near the target. An empty table gives an empty table. Other columns, also ones named like those
 used here, pass untouched.
 """
 
@@ -28,6 +29,7 @@ WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5
 MOST = 2.0
 BINS = 1 << 13
+PIECE = 1000
 UNITS = float(1 << 52)
 
 
@@ -79,8 +81,8 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHAR
     1); inclusions stop at ``most``. Rates are scaled so that the source's expected words are its target
     wherever no document is capped."""
     liking = F.lit(1.0) if preference is None else F.coalesce(preference.cast("double"), F.lit(1.0))
-    rows = docs.select(F.struct("*").alias("row"), F.col("source").cast("string").alias("source"), F.coalesce(F.col("doc_id").cast("string"), F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"))).alias("id"), word_count().alias("size"), liking.alias("liking"))
-    narrow = materialise(rows.select("source", "id", "size", "liking"), "mix-sizes")
+    rows = docs.select(F.struct("*").alias("row"), F.col("source").cast("string").alias("source"), F.coalesce(F.col("doc_id").cast("string"), F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"))).alias("id"), word_count().alias("size"), liking.alias("liking"), F.xxhash64(F.struct("*").cast("string")).alias("same"))
+    narrow = materialise(rows.select("source", "id", "size", "liking", "same"), "mix-sizes")
     sums = narrow.groupBy("source").agg(F.sum("size").alias("source_size"), F.sum(F.col("size") * F.col("liking")).alias("liked"))
     targets = source_targets(sums.select("source", "source_size"), weights, share, most)
     # one row per source
@@ -118,12 +120,25 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHAR
     )
     edges = materialise(edges, "mix-edges")
     ends = _small(edges.select(F.col("source").alias("s"), "edge", "before", "left"))
-    in_order = Window.partitionBy("source").orderBy("ratio", "id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    at_edge = marked.join(ends, F.col("source").eqNullSafe(F.col("s"))).where("bin = edge").withColumn("upto", F.col("before") + F.sum("size").over(in_order))
+    place = ("ratio", "id", "size", "same")
+    in_order = Window.partitionBy("source").orderBy(*place).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # equal rows are one row here, however many they are
+    at_edge = marked.join(ends, F.col("source").eqNullSafe(F.col("s"))).where("bin = edge").groupBy("source", *place, "before", "left").agg(F.count(F.lit(1)).alias("n"))
+    starts = at_edge.withColumn("start", F.col("before") + F.sum(F.col("size") * F.col("n")).over(in_order) - F.col("size") * F.col("n"))
     # the last one taken is that whose middle still lies inside
-    cut = at_edge.where("upto - size / 2 <= left").groupBy("source").agg(F.max(F.struct("ratio", "id", "size")).alias("last"))
-    last = materialise(edges.select("source", "edge").join(cut.select(F.col("source").alias("s"), "last"), F.col("source").eqNullSafe(F.col("s")), "left").select("source", "edge", "last"), "mix-cuts")
-    out = judged(rows).join(_small(last.select(F.col("source").alias("s"), "edge", "last")), F.col("source").eqNullSafe(F.col("s")), "left")
-    key = F.struct("ratio", "id", "size")
+    inside = starts.withColumn("m", F.least(F.floor((F.col("left") - F.col("start")) / F.col("size") + 0.5), F.col("n"))).where("m > 0")
+    cut = inside.groupBy("source").agg(F.max(F.struct(*place, "m", "n")).alias("c"))
+    cut = cut.select(F.col("source").alias("s"), F.struct(*[F.col("c").getField(p).alias(p) for p in place]).alias("last"), "c.m", "c.n")
+    last = materialise(edges.select("source", "edge").join(cut, F.col("source").eqNullSafe(F.col("s")), "left").select("source", "edge", "last", "m", "n"), "mix-cuts")
+    out = judged(rows).join(_small(last.select(F.col("source").alias("s"), "edge", "last", "m", "n")), F.col("source").eqNullSafe(F.col("s")), "left")
+    key = F.struct(*place)
     extra = F.when(F.col("ratio").isNull(), 0).when(F.col("bin") < F.col("edge"), 1).when((F.col("bin") == F.col("edge")) & (key <= F.col("last")), 1).otherwise(0)
-    return out.select("row", "size", "source_size", "target", (F.col("certain") + extra).cast("long").alias("copies"))
+    result = lambda df, more: df.select("row", "size", "source_size", "target", (F.col("certain") + more).cast("long").alias("copies"))
+    if last.where("m < n").limit(1).count() == 0:
+        return result(out, extra)
+    # at most one group of equal rows per source is taken in part: counted, and put out again in pieces
+    parted = F.coalesce((F.col("bin") == F.col("edge")) & (key == F.col("last")) & (F.col("m") < F.col("n")), F.lit(False))
+    groups = out.where(parted).groupBy("source", *place).agg(*[F.first(c).alias(c) for c in ("row", "source_size", "target", "certain", "m", "n")])
+    pieces = groups.withColumn("piece", F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / PIECE)))).repartition("source", "piece")
+    single = pieces.withColumn("k", F.explode(F.sequence(F.col("piece") * PIECE + 1, F.least((F.col("piece") + 1) * PIECE, F.col("n")))))
+    return result(out.where(~parted), extra).unionByName(result(single, F.when(F.col("k") <= F.col("m"), 1).otherwise(0)))

@@ -96,7 +96,7 @@ SHINGLE_LINKS = r"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(trans
  comp AS (SELECT d AS doc_id, min(c) AS component_id FROM reach GROUP BY d)
  SELECT s.doc_id, len(s.sh)::BIGINT AS n_shingles, comp.component_id, comp.component_id = s.doc_id AS kept FROM s JOIN comp USING (doc_id)"""
 
-MIXED = r"""WITH d AS (SELECT doc_id, source, CASE WHEN text IS NULL THEN 0 ELSE len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) END AS size FROM documents),
+MIXED = r"""WITH d AS (SELECT doc_id, source, coalesce(doc_id::VARCHAR, md5(coalesce(text, ''))) AS id, CASE WHEN text IS NULL THEN 0 ELSE len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) END AS size FROM documents),
  s AS (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS k FROM d GROUP BY source),
  w AS (SELECT *, [3.0, 1.0, 2.0][k % 3 + 1]::DOUBLE AS w, 2.0::DOUBLE * source_size AS cap FROM s),
  o AS (SELECT *, cap / w AS ratio, 1.5::DOUBLE * sum(source_size) OVER () AS total, sum(w) OVER () AS weight FROM w),
@@ -104,11 +104,11 @@ MIXED = r"""WITH d AS (SELECT doc_id, source, CASE WHEN text IS NULL THEN 0 ELSE
    WINDOW before AS (ORDER BY ratio, k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
  t AS (SELECT source, source_size, least(cap, coalesce(arg_min(level, ratio) FILTER (level <= ratio) OVER () * w, cap)) AS target FROM l),
  e AS (SELECT d.*, source_size, target, least(2.0::DOUBLE, CASE WHEN source_size > 0 THEN target * 1.0::DOUBLE / source_size ELSE 0 END) AS e,
-   (('0x' || substr(md5('7:' || doc_id), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE AS u
+   (('0x' || substr(md5('7:' || id), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE AS u
    FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
  p AS (SELECT *, floor(e) AS c, e - floor(e) AS p FROM e),
  r AS (SELECT *, CASE WHEN p > 0 AND size > 0 THEN u * (1 - p) / ((1 - u) * p) END AS ratio, target - sum(c * size) OVER (PARTITION BY source) AS left_ FROM p),
- q AS (SELECT *, sum(CASE WHEN ratio IS NULL THEN 0 ELSE size END) OVER (PARTITION BY source ORDER BY ratio NULLS FIRST, doc_id::VARCHAR, size ROWS UNBOUNDED PRECEDING) AS upto FROM r)
+ q AS (SELECT *, sum(CASE WHEN ratio IS NULL THEN 0 ELSE size END) OVER (PARTITION BY source ORDER BY ratio NULLS FIRST, id, size ROWS UNBOUNDED PRECEDING) AS upto FROM r)
  SELECT doc_id, size::BIGINT AS size, source_size, target,
   ((c + CASE WHEN ratio IS NOT NULL AND left_ > 0 AND upto - size / 2 <= left_ THEN 1 ELSE 0 END) * size)::BIGINT AS taken FROM q"""
 
