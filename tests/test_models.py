@@ -90,6 +90,14 @@ def test_smote_plan_does_not_grow(spark):
     assert len(sizes) == 1
 
 
+def test_smote_vectors_are_never_broadcast(spark):
+    """The planner takes a stored table of vectors for a small one."""
+    rows = runs.materialise(spark.range(3000).select(F.col("id").alias("txn_id"), F.array(F.rand(1), F.rand(2)).alias("x")), "vectors")
+    near = L.minority_neighbours(rows, "txn_id", 3000, 5, leaf_rows=200)
+    assert "BroadcastHashJoin" not in near._jdf.queryExecution().executedPlan().toString()
+    assert near.count() == 3000
+
+
 def test_smote_k():
     assert [L.smote_neighbours(n) for n in (399, 9, 3, 1)] == [5, 2, 1, 1]
 
