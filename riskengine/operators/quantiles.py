@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskengine.operators.ranking import running_totals
+from riskengine.operators.shape import one_row
 
 ONE_TASK_ROWS = 2_000_000
 _SKETCH = 10_000
@@ -84,12 +85,13 @@ def _bracketed(df, cols, probs, by):
     def in_group(group) -> Column:
         return F.col(by).eqNullSafe(F.lit(group)) if by else F.lit(True)
 
-    below = df.agg(
-        *[
+    below = one_row(
+        df,
+        [
             F.coalesce(F.sum(F.when(in_group(g) & (F.col(c) < F.lit(lo)), 1)), F.lit(0)).alias(f"b_{j}")
             for j, (g, c, _, _, _, lo, _) in enumerate(brackets)
-        ]
-    ).first()
+        ],
+    )
     inside = df.select(
         F.explode(
             F.filter(

@@ -5,6 +5,7 @@ from riskengine import schema as S
 from riskengine.operators import prep
 from riskengine.operators import profiling as D
 from riskengine.operators import quality as V
+from riskengine.operators.shape import one_row
 from riskengine.sources import adapter as A
 
 
@@ -111,3 +112,16 @@ def test_histogram_and_box_keep_a_null_class(spark):
     assert sum(b.n for b in bars) == 5 and all(b.bin is not None for b in bars)
     assert sum(b.n for b in bars if b.Class is None) == 2
     assert {r.Class for r in D.box_plot(df).collect()} == {0, 1, None}
+
+
+def test_wide_tables_are_aggregated_in_parts(spark):
+    """An aggregate of many columns is too long to be compiled: each takes a few and the figures are those of one."""
+    cols = [f"c{i}" for i in range(30)]
+    df = spark.range(50).select(*[(F.col("id") * (i + 1) % 7).cast("double").alias(c) for i, c in enumerate(cols)])
+    out = V.moments(df, cols)
+    assert out._jdf.queryExecution().analyzed().toString().count("Aggregate [") == 8
+    got = {r["column"]: r for r in out.collect()}
+    assert [r["column"] for r in out.collect()] == cols
+    want = df.agg(F.avg("c29"), F.stddev_samp("c29")).first()
+    assert (got["c29"]["mean"], got["c29"]["std"]) == (pytest.approx(want[0]), pytest.approx(want[1]))
+    assert one_row(df, [F.max(c).alias(c) for c in cols]) == {c: 6.0 for c in cols} | {c: 0.0 for i, c in enumerate(cols) if (i + 1) % 7 == 0}
