@@ -142,6 +142,15 @@ def test_cross_validation(planted):
     assert one.folds[1] == pytest.approx(alone.roc_auc, abs=1e-4)
 
 
+def test_small_files_do_not_leave_cores_idle(spark):
+    """Rows of few distinct values lie in one split."""
+    rows = spark.range(0, 4000, 1, 1).select(F.col("id").alias("txn_id"), (F.col("id") % 2).alias("a"))
+    assert L.stored_rows(rows, "alone", 1000)[0].rdd.getNumPartitions() == 4
+    assert L.stored_rows(rows, "few", 2000)[0].rdd.getNumPartitions() == 2
+    stored, n = L.stored_rows(rows, "small", 25_000)
+    assert n == 4000 and stored.rdd.getNumPartitions() == 1
+
+
 def test_side_by_side_raises_and_keeps_order(spark):
     assert L.side_by_side([lambda i=i: i for i in range(20)], spark) == list(range(20))
     with pytest.raises(ZeroDivisionError):
