@@ -151,6 +151,31 @@ def test_small_files_do_not_leave_cores_idle(spark):
     assert n == 4000 and stored.rdd.getNumPartitions() == 1
 
 
+def test_no_pass_waits_for_a_core_with_one_split_more(spark):
+    """Splits that do not go evenly into the cores or the tasks asked for; a training set is read hundreds of times."""
+
+    def sizes(parts, per_task, even):
+        rows = spark.range(0, 6000, 1, parts).select(F.col("id").alias("txn_id"), F.rand(1).alias("a"))
+        stored, n = L.stored_rows(rows, "splits", per_task, even=even)
+        assert n == 6000 and stored.distinct().count() == 6000
+        return sorted(stored.rdd.glom().map(len).collect())
+
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "32k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "32k")
+    try:
+        # four cores: six splits are two waves, the second of them half empty
+        found = sizes(6, 1000, True)
+        assert len(found) == 8 and found[-1] <= 1.1 * found[0]
+        assert len(sizes(6, 1000, False)) == 6
+        # five splits in three tasks
+        found = sizes(5, 2000, True)
+        assert len(found) == 3 and found[-1] <= 1.1 * found[0]
+        assert len(sizes(8, 1000, True)) == 8
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
 def test_side_by_side_raises_and_keeps_order(spark):
     assert L.side_by_side([lambda i=i: i for i in range(20)], spark) == list(range(20))
     with pytest.raises(ZeroDivisionError):
