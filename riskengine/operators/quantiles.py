@@ -9,14 +9,15 @@ five thousand) are counted exactly.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
-from functools import reduce
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskengine.operators.ranking import running_totals
-from riskengine.operators.shape import one_row
+from riskengine.session import scratch_path
 
 ONE_TASK_ROWS = 2_000_000
 _SKETCH = 10_000
@@ -82,52 +83,56 @@ def _bracketed(df, cols, probs, by):
     if not brackets:
         return result
 
-    def in_group(group) -> Column:
-        return F.col(by).eqNullSafe(F.lit(group)) if by else F.lit(True)
-
-    below = one_row(
-        df,
-        [
-            F.coalesce(F.sum(F.when(in_group(g) & (F.col(c) < F.lit(lo)), 1)), F.lit(0)).alias(f"b_{j}")
-            for j, (g, c, _, _, _, lo, _) in enumerate(brackets)
-        ],
-    )
-    inside = df.select(
-        F.explode(
-            F.filter(
-                F.array(
-                    *[
-                        F.when(
-                            in_group(g) & F.col(c).between(lo, hi),
-                            F.struct(F.lit(j).alias("bracket"), F.col(c).alias("v")),
-                        )
-                        for j, (g, c, _, _, _, lo, hi) in enumerate(brackets)
-                    ]
-                ),
-                lambda e: e.isNotNull(),
-            )
-        ).alias("e")
-    ).select("e.bracket", "e.v")
-    ranked = running_totals(
-        inside.groupBy("bracket", "v").agg(F.count(F.lit(1)).alias("n")), "v", ["n"], by=["bracket"]
-    )
+    counted = _inside(df, cols, by, brackets)
+    below = dict.fromkeys(range(len(brackets)), 0) | {r["bracket"]: r["n"] for r in counted.where("v is null").collect()}
+    ranked = running_totals(counted.where("v is not null"), "v", ["n"], by=["bracket"])
     wanted = {}
     for j, (_, _, _, _, pos, _, _) in enumerate(brackets):
-        wanted[j] = (math.floor(pos) - below[f"b_{j}"], math.ceil(pos) - below[f"b_{j}"])
-    hit = reduce(
-        Column.__or__,
-        [
-            (F.col("bracket") == j) & (F.col("before_n") <= r) & (F.col("before_n") + F.col("n") > r)
-            for j, pair in wanted.items()
-            for r in sorted(set(pair))
-        ],
-    )
-    found = ranked.where(hit).collect()
+        wanted[j] = (math.floor(pos) - below[j], math.ceil(pos) - below[j])
+    ranks = sorted({(j, r) for j, pair in wanted.items() for r in pair})
+    # two rows per bracket; a condition with a term for each would be too deep for the planner
+    asked = F.broadcast(df.sparkSession.createDataFrame(ranks, "_bracket int, _rank long"))
+    reached = (F.col("bracket") == F.col("_bracket")) & (F.col("before_n") <= F.col("_rank")) & (F.col("before_n") + F.col("n") > F.col("_rank"))
+    found = {(r["bracket"], r["_rank"]): r["v"] for r in ranked.join(asked, reached).select("bracket", "_rank", "v").collect()}
     for j, (g, c, k, _, pos, _, _) in enumerate(brackets):
-        low, high = (
-            next(f["v"] for f in found if f["bracket"] == j and f["before_n"] <= r < f["before_n"] + f["n"])
-            for r in wanted[j]
-        )
+        low, high = (found[j, r] for r in wanted[j])
         frac = pos - math.floor(pos)
         result[(g, c)][k] = low + (high - low) * frac
     return result
+
+
+def _inside(df, cols, by, brackets):
+    """(bracket, v, n), stored: how often a value inside a bracket occurs; the row whose ``v`` is null has the number of values
+    below the bracket. One pass over the rows for all brackets."""
+    groups = {g: i for i, g in enumerate(dict.fromkeys(b[0] for b in brackets))}
+    places = {c: i for i, c in enumerate(cols)}
+    plan = [(j, groups[g], places[c], lo, hi) for j, (g, c, _, _, _, lo, hi) in enumerate(brackets)]
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        below = np.zeros(len(plan), dtype=np.int64)
+        for batch in batches:
+            group = batch.column(0).to_numpy(zero_copy_only=False)
+            values = [batch.column(i + 1).cast("double").to_numpy(zero_copy_only=False) for i in range(len(places))]
+            names, seen, often = [], [], []
+            for j, g, place, lo, hi in plan:
+                v = values[place] if len(groups) == 1 and (group == g).all() else values[place][group == g]
+                # a null is NaN here, which is neither below nor inside
+                below[j] += np.count_nonzero(v < lo)
+                distinct, n = np.unique(v[(v >= lo) & (v <= hi)], return_counts=True)
+                names.append(np.full(len(distinct), j, dtype=np.int32))
+                seen.append(distinct)
+                often.append(n.astype(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (names, seen, often)], ["bracket", "v", "n"])
+        nothing = pa.nulls(len(plan), pa.float64())
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(plan), dtype=np.int32)), nothing, pa.array(below)], ["bracket", "v", "n"])
+
+    number = F.lit(0)
+    if by:
+        number = F.lit(-1)
+        for g, i in groups.items():
+            number = F.when(F.col(by).eqNullSafe(F.lit(g)), i).otherwise(number)
+    rows = df.select(number.cast("int").alias("_group"), *[F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(cols)])
+    counts = rows.mapInArrow(count, "bracket int, v double, n long").groupBy("bracket", "v").agg(F.sum("n").alias("n"))
+    path = scratch_path(df.sparkSession, "quantiles")
+    counts.write.parquet(path)
+    return df.sparkSession.read.schema(counts.schema).parquet(path)

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskengine.operators import alarms, asof, slices, stability, timefolds
+from riskengine.operators.quantiles import quantiles
 from riskengine.operators import metrics as M
 
 # ---- as-of join ----
@@ -174,3 +175,21 @@ def test_promotion_verdicts(spark):
         "f": ("held", "no_comparison"),
         "g": ("held", "no_comparison"),
     }
+
+
+def test_quantiles_of_many_columns_beyond_one_task(spark):
+    """Thirty columns and nine quantiles each, with ties and nulls: a condition with a term per rank overflowed the planner's stack."""
+    rng = np.random.default_rng(3)
+    table = rng.normal(size=(3000, 30))
+    table[:, 1] = np.round(table[:, 1])
+    table[::7, 2] = np.nan
+    cols = [f"c{i}" for i in range(30)]
+    rows = spark.createDataFrame([tuple(map(float, r)) for r in table], ", ".join(f"{c} double" for c in cols)).withColumn("side", F.col("c0") > 1)
+    probs = [k / 10 for k in range(1, 10)]
+    found = quantiles(rows, cols, probs, one_task_rows=100)
+    by_side = quantiles(rows, cols[:3], probs, by="side", one_task_rows=100)
+    for i, c in enumerate(cols):
+        assert found[None, c] == pytest.approx(np.nanquantile(table[:, i], probs), abs=1e-12)
+    for i, c in enumerate(cols[:3]):
+        for side in (True, False):
+            assert by_side[side, c] == pytest.approx(np.nanquantile(table[(table[:, 0] > 1) == side, i], probs), abs=1e-12)
