@@ -98,6 +98,28 @@ def test_smote_vectors_are_never_broadcast(spark):
     assert near.count() == 3000
 
 
+def test_smote_neighbours_do_not_depend_on_the_size_or_the_cells(spark):
+    """Rows without any grouping, where the nearest ones lie in many cells: exact in one cell and in eighty, also for a part of the rows,
+    for equal rows, for repeated keys and beside rows with missing values."""
+    n = 2000
+    vector = F.array(*[F.round(F.randn(i), 1) if i == 0 else F.randn(i) for i in range(12)])
+    df = spark.range(n).select((F.col("id") - F.col("id") % 3).alias("txn_id"), F.when(F.col("id") % 100 == 5, F.array(*[F.lit(0.5)] * 12)).otherwise(vector).alias("x"))
+    rows = runs.materialise(df, "cloud")
+    # equal rows are one point, whose copies come first
+    points, copies = np.unique(np.array([r.x for r in rows.collect()]), axis=0, return_counts=True)
+    odd = rows.limit(3).select("txn_id", F.transform("x", lambda _v, i: F.when(i > 0, 1.0).when(F.col("txn_id") >= 0, float("nan"))).alias("x"))
+    more = runs.materialise(rows.unionByName(odd), "odd")
+    for cell_rows, asked in ((n, None), (25, None), (25, F.col("txn_id") % 2 == 0)):
+        found = L.minority_neighbours(more, "txn_id", n + 3, 5, leaf_rows=1 if cell_rows < n else 2 * n, cell_rows=cell_rows, asked=asked).collect()
+        assert len(found) == (more if asked is None else more.where(asked)).count()
+        for r in found:
+            if np.isnan(r.x).any():
+                continue
+            away = ((points - np.array(r.x)) ** 2).sum(axis=1)
+            near = np.append(np.zeros(copies[away.argmin()] - 1), np.sort(away)[1:6])[:5]
+            assert np.allclose(((np.array(r.nb) - np.array(r.x)) ** 2).sum(axis=1), near, rtol=1e-12, atol=1e-12)
+
+
 def test_smote_k():
     assert [L.smote_neighbours(n) for n in (399, 9, 3, 1)] == [5, 2, 1, 1]
 
